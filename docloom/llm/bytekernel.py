@@ -167,3 +167,42 @@ def distinct_per_row(hashes: np.ndarray, rows: np.ndarray, n_rows: int) -> tuple
         new[1:] = (h[1:] != h[:-1]) | (r[1:] != r[:-1])
         h, r = h[new], r[new]
     return h, r, np.bincount(r, minlength=n_rows) if n_rows else np.zeros(0, np.int64)
+
+
+class HashIndex:
+    """Places of known 64-bit keys, found by linear probing in numpy."""
+
+    def __init__(self, keys: np.ndarray):
+        bits = max(4, (4 * len(keys)).bit_length())
+        self.mask = U((1 << bits) - 1)
+        self.key = np.zeros(1 << bits, U)
+        self.place = np.full(1 << bits, -1, np.int32)
+        left, step = np.arange(len(keys)), 0
+        while len(left):
+            slot = ((keys[left] + U(step)) & self.mask).astype(np.int64)
+            free = self.place[slot] < 0
+            _, one = np.unique(slot[free], return_index=True)
+            won = np.flatnonzero(free)[one]
+            self.key[slot[won]], self.place[slot[won]] = keys[left[won]], left[won]
+            left, step = np.delete(left, won), step + 1
+        self.steps = step
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """The place of each hash among the keys, -1 where unknown."""
+        slot = (h & self.mask).astype(np.int64)
+        out = np.where(self.key[slot] == h, self.place[slot], -1)
+        open_ = np.flatnonzero((out < 0) & (self.place[slot] >= 0))
+        step = 1
+        while len(open_) and step < self.steps:
+            slot = ((h[open_] + U(step)) & self.mask).astype(np.int64)
+            hit = (self.key[slot] == h[open_]) & (self.place[slot] >= 0)
+            out[open_[hit]] = self.place[slot[hit]]
+            open_ = open_[~hit & (self.place[slot] >= 0)]
+            step += 1
+        return out
+
+
+def gather(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The ragged pieces values[start : start + length], joined."""
+    total = np.cumsum(lengths)
+    return values[np.repeat(starts - total + lengths, lengths) + np.arange(total[-1] if len(total) else 0)]

@@ -2,22 +2,35 @@
 
 from __future__ import annotations
 
-from docloom.llm import decontamination, ngram_join
+from docloom.llm import decontamination, grammar_output, language_id, ngram_join, quality
 from docloom.llm.common import table
 
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+def op3_grammar_output(spark, sf_dir):
+    path = grammar_output.write_shards(table(spark, sf_dir, "documents"), end_id=2)
+    return grammar_output.read_documents(spark, path)
+
+
 def op5_decontamination(spark, sf_dir):
     out = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
     return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op6_quality(spark, sf_dir):
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
+
+
+def op8_language_id(spark, sf_dir):
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op9_ngram_jaccard(spark, sf_dir):
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), k=3, num=90, den=100).select("doc_id", "n_shingles", "component_id")
 
 
-QUERIES = {"op5_decontamination": op5_decontamination, "op9_ngram_jaccard": op9_ngram_jaccard}
+QUERIES = {f.__name__: f for f in (op3_grammar_output, op5_decontamination, op6_quality, op8_language_id, op9_ngram_jaccard)}
 
 _WORDS = r"regexp_extract_all(" + _LOWER.format("coalesce(text, '')") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
