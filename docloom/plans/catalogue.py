@@ -22,13 +22,20 @@ def register(name: str, sql: str | None = None):
     return add
 
 
+def _load() -> None:
+    from docloom.plans import queries as _  # noqa: F401  fills the registry
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    _load()
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _load()
     return dict(_ORACLES)
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _load()
     return _QUERIES["chunk_sections"](spark, sf_dir)
