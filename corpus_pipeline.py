@@ -1,20 +1,91 @@
-"""The corpus pipeline: every stage applies one operator to all that the stage before it kept."""
+"""The corpus pipeline: every stage applies one operator to all that the stage before it kept.
+
+Each stage but the last returns the columns of the documents it was given,
+whatever they are besides doc_id, text, lang and source.  A stage deletes the
+scratch tables of the stage before it, whose output has been written by then.
+"""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from docloom.llm import common, decontamination, grammar_output, language_id, mixing, ngram_join, queries
+
+_left: list[str] = []
+
+
+def _stage(f, first: bool = False):
+    def go(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        if not first:
+            common.drop(spark, _left)
+        _left.clear()
+        before = set(common.scratch_paths())
+        out = f(spark, docs, sf_dir)
+        _left.extend(x for x in common.scratch_paths() if x not in before)
+        return out
+
+    return go
+
+
+def _language(spark, docs, sf_dir):
+    """Documents whose language can't be told (no letters, or null) go."""
+    held = F.coalesce(common.crc_mod(F.col("doc_id"), 4) == 2, F.lit(False))
+    model = language_id.fit(docs, held)
+    rows = docs.select(F.struct("*").alias("row"), F.col("text").alias("body"))
+    return language_id.predict(rows, model, "body", ["row"]).where("lang_pred <> 'und'").select("row.*")
+
+
+def _near_duplicates(spark, docs, sf_dir):
+    """Of each group of near copies (five-word shingles, Jaccard 0.8 or more, and chains of such) the row with the smallest doc_id stays."""
+    found = ngram_join.jaccard_components(docs, k=5, num=80, den=100)
+    keep = common.saved(found.where("component_id <=> doc_id").groupBy("doc_id").agg(F.count("*").alias("rows")), "kept")
+    out = docs.join(keep.select(F.col("doc_id").alias("kept_id")), F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    twice = keep.where("rows > 1 and doc_id is not null")
+    if twice.isEmpty():
+        return out
+    # repeated rows of one id: one of each text
+    names = docs.columns
+    tagged = out.join(twice.select(F.col("doc_id").alias("twice_id")), F.col("doc_id") == F.col("twice_id"), "left").select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), "twice_id")
+    single = tagged.where("twice_id is null").select("row.*")
+    return single.unionByName(tagged.where("twice_id is not null").select("row.*").dropDuplicates(["doc_id", "text"]))
+
+
+def _decontaminate(spark, docs, sf_dir):
+    """Documents holding a passage of a benchmark item go."""
+    key = F.xxhash64("doc_id", "text")
+    hits = decontamination.contamination(docs.select(key.alias("key"), "text"), common.table(spark, sf_dir, "benchmark"), window=10, doc_id="key")
+    bad = common.saved(hits.where("contaminated").select(F.col("doc_id").alias("bad_key")).distinct(), "contaminated")
+    return docs.join(bad, key == F.col("bad_key"), "left_anti")
+
+
+def _mix(spark, docs, sf_dir):
+    """Documents are taken to target weights, up to twice, over a budget of all their tokens."""
+    return mixing.mixed(docs, queries.mixture(1, 1))
+
+
+def _tokens(spark, docs, sf_dir):
+    return grammar_output.read_documents(spark, grammar_output.write_shards(docs, end_id=2))
+
 
-from docloom.llm.common import scratch_path, table
+STAGES = [
+    ("language ID", _stage(_language, first=True)),
+    ("n-gram Jaccard join", _stage(_near_duplicates)),
+    ("benchmark decontamination", _stage(_decontaminate)),
+    ("mixing sources to target weights", _stage(_mix)),
+    ("token-ID output", _stage(_tokens)),
+]
 
-STAGES: list = []
+#: A tokenizer and a fitted classifier aren't SQL; tests/llm holds the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        out = stage(spark, docs, sf_dir)
-        path = scratch_path(spark, f"stage-{name.replace(' ', '-')}")
-        out.write.parquet(path)
+    docs = common.table(spark, sf_dir, "documents")
+    for k, (_, stage) in enumerate(STAGES):
+        path = f"{common.shared_dir(spark)}/docloom/stage-{k}-{uuid.uuid4().hex}"
+        stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs

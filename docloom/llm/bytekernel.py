@@ -116,7 +116,7 @@ def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, value: np
     return mix((h[ends] - h[starts]) * q[starts] + (ends - starts).astype(U) * U(0xD6E8FEB86659FD93))
 
 
-def slices(column: pa.Array, most_bytes: int = 4 << 20):
+def slices(column: pa.Array, most_bytes: int = 4 << 20, most_rows: int = 1 << 20):
     """(first row, end row) of pieces of about most_bytes of text; one row at least."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -124,8 +124,9 @@ def slices(column: pa.Array, most_bytes: int = 4 << 20):
     n, i = len(off) - 1, 0
     while i < n:
         j = max(i + 1, int(np.searchsorted(off, off[i] + most_bytes, "right")) - 1)
-        yield i, min(j, n)
-        i = min(j, n)
+        j = min(j, n, i + most_rows)
+        yield i, j
+        i = j
 
 
 def shingle_hashes(word_hash: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

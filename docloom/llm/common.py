@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _own: dict[str, str] = {}
@@ -28,6 +28,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def scratch_paths() -> list[str]:
+    return list(_scratch)
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """df written once to the shared folder and read from there: the lineage is cut and no executor's loss costs more than a reread."""
     path = scratch_path(df.sparkSession, name)
@@ -35,6 +39,16 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settled(df: DataFrame, name: str, small: int) -> tuple[DataFrame, int]:
+    """saved() and its number of rows; up to small rows it is read as one partition, so that joins and sums of such tables need no shuffle."""
+    seen = Observation()
+    path = scratch_path(df.sparkSession, name)
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    n = seen.get["n"]
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    return (out.coalesce(1) if n <= small else out), n
+
+
 def drop(spark: SparkSession, paths: list[str]) -> None:
     hadoop = spark.sparkContext._jsc.hadoopConfiguration()
     for path in paths:

@@ -2,17 +2,47 @@
 
 from __future__ import annotations
 
-from docloom.llm import decontamination, grammar_output, language_id, ngram_join, quality
+from pyspark.sql import functions as F
+
+from docloom.llm import ann, chat, decontamination, grammar_output, language_id, licenses, mixing, ngram_join, quality, warc
 from docloom.llm.common import table
 
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+def domain_of_source():
+    """The tree's first level: src0 to src4 are web, src5 to src14 books, the rest forums."""
+    number = F.try_to_number(F.regexp_extract(F.coalesce("source", F.lit("")), "^src([0-9]{1,6})$", 1), F.lit("999999"))
+    return F.when(number <= 4, "web").when(number <= 14, "books").otherwise("forum")
+
+
+_DOMAIN_SQL = "CASE WHEN try_cast(regexp_extract(coalesce(source, ''), '^src([0-9]{1,6})$', 1) AS INT) <= 4 THEN 'web' WHEN try_cast(regexp_extract(coalesce(source, ''), '^src([0-9]{1,6})$', 1) AS INT) <= 14 THEN 'books' ELSE 'forum' END"
+
+
+def mixture(budget_num: int = 8, budget_den: int = 10) -> mixing.Mixture:
+    return mixing.Mixture(domain_of_source(), {"web": 40, "books": 35, "forum": 25}, {"en": 50, "de": 20, "fr": 20, "es": 10}, {"src0": 3}, budget_num, budget_den, max_epochs=2, seed=17)
+
+
+def op1_mixing(spark, sf_dir):
+    return mixing.select(table(spark, sf_dir, "documents"), mixture())
+
+
+def op2_nearest(spark, sf_dir):
+    return ann.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
 def op3_grammar_output(spark, sf_dir):
     path = grammar_output.write_shards(table(spark, sf_dir, "documents"), end_id=2)
     return grammar_output.read_documents(spark, path)
 
 
+def op4_chat(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    escaped = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", escaped), (-7, 1, "assistant", escaped)], "conv_id long, turn long, role string, text string")
+    return chat.read_chats(spark, chat.write_chats(turns.unionByName(extra)))
+
+
 def op5_decontamination(spark, sf_dir):
     out = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
     return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -22,19 +52,52 @@ def op6_quality(spark, sf_dir):
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
 
 
+def op7_licenses(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op8_language_id(spark, sf_dir):
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op10_warc(spark, sf_dir):
+    return warc.archive(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op9_ngram_jaccard(spark, sf_dir):
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), k=3, num=90, den=100).select("doc_id", "n_shingles", "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op3_grammar_output, op5_decontamination, op6_quality, op8_language_id, op9_ngram_jaccard)}
+QUERIES = {
+    f.__name__: f
+    for f in (op1_mixing, op2_nearest, op3_grammar_output, op4_chat, op5_decontamination, op6_quality, op7_licenses, op8_language_id, op9_ngram_jaccard, op10_warc)
+}
 
 _WORDS = r"regexp_extract_all(" + _LOWER.format("coalesce(text, '')") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+
+def _escaped(c: str) -> str:
+    """The chat template's escape: backslashes are doubled, a control string gets one after its first sign."""
+    out = f"replace({c}, '\\', '\\\\')"
+    for x in chat.CONTROL:
+        out = f"replace({out}, '{x}', '{x[0]}\\{x[1:]}')"
+    return out
+
+
 ORACLES = {
+    "op1_mixing": mixing.sql(mixture(), _DOMAIN_SQL),
+    "op7_licenses": licenses.sql(),
+    "op4_chat": f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length({_escaped("role")}) + length({_escaped("text")}) + {len("".join(chat.RESERVED))}) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id""",
+    "op10_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d FROM pages),
+k AS (SELECT d, max(page_id) AS k FROM p WHERE n >= 1000 GROUP BY d)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, p.d AS payload_digest, CASE WHEN n >= 1000 AND page_id <> k THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 1000 AND page_id <> k THEN k END AS refers_to FROM p LEFT JOIN k USING (d)""",
     "op5_decontamination": rf"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 i AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
