@@ -388,6 +388,25 @@ def path_params_static(path: Column) -> Column:
     return F.transform(F.regexp_extract_all(path, F.lit(r"\{(\w+)\}"), F.lit(1)), lambda n: F.struct(n.alias("name"), F.lit(True).alias("required"), F.lit("path").alias("in"), F.lit(None).cast("string").alias("type")))
 
 
+# tables
+
+
+def tables_markdown(tables: Column) -> Column:
+    """Pipe tables, captions in bold above; rows are padded or cut to the headers, tables without any row are left out."""
+    line = lambda cells: F.concat(F.lit("| "), F.array_join(cells, " | ", ""), F.lit(" |"))
+
+    def one(t):
+        own = F.size(t["headers"]) > 0
+        head = F.when(own, t["headers"]).otherwise(F.coalesce(F.get(t["rows"], F.lit(0)), F.slice(t["headers"], 1, 0)))
+        body = F.when(own, t["rows"]).otherwise(F.slice(t["rows"], 2, F.greatest(F.size(t["rows"]) - 1, F.lit(0))))
+        padded = lambda r: F.transform(head, lambda h, i: F.coalesce(F.get(r, i), F.lit("")))
+        caption = F.when(F.coalesce(t["caption"], F.lit("")) != "", F.array(F.concat(F.lit("**"), t["caption"], F.lit("**\n")))).otherwise(F.expr("cast(array() as array<string>)"))
+        lines = F.concat(caption, F.array(line(head), line(F.transform(head, lambda h: F.lit("---")))), F.transform(body, lambda r: line(padded(r))))
+        return F.when(F.size(head) > 0, F.array_join(lines, "\n"))
+
+    return F.array_join(F.array_compact(F.transform(tables, one)), "\n\n")
+
+
 # code
 
 

@@ -73,6 +73,13 @@ def architecture_map(docs: DataFrame, order: str) -> DataFrame:
     return out.select("domain", S.capitalised(F.col("domain")).alias("title"), depends.alias("depends_on"), "related_domains", "endpoints", "requires_auth", "pages")
 
 
+def health(html_ids: DataFrame, documents: DataFrame) -> DataFrame:
+    """One row: cached pages, stored documents, and cached pages without a document."""
+    missing = html_ids.select("id").join(documents.select("id"), "id", "left_anti")
+    one = lambda df, name: df.agg(F.count("*").alias(name))
+    return one(html_ids, "html").join(one(documents, "json")).join(one(missing, "unparsed"))  # three one-row counts
+
+
 # audit
 
 
@@ -101,7 +108,7 @@ def audit_thresholds(counts: DataFrame, max_partial: float = 0.5, max_failed: fl
     n = lambda key: F.coalesce(F.max(F.when((F.col("dimension") == "quality") & (F.col("key") == key), F.col("n"))), F.lit(0))
     row = counts.agg(F.greatest(F.coalesce(F.max(F.when(F.col("key") == "validDocuments", F.col("n"))), F.lit(0)), F.lit(1)).alias("total"), n("partial").alias("partial"), n("failed").alias("failed"))
     row = row.select(((F.col("partial") + F.col("failed")) / F.col("total")).alias("p"), (F.col("failed") / F.col("total")).alias("f"))
-    said = lambda name, c, most: F.when(F.col(c) > most, F.concat(F.lit(f"{name} "), F.format_number(F.col(c) * 100, "0.0"), F.lit(f"% > {most * 100:.0f}%")))
+    said = lambda name, c, most: F.when(F.col(c) > most, F.concat(F.lit(f"{name} "), F.format_string("%.1f", F.col(c) * 100), F.lit(f"% > {most * 100:.0f}%")))
     reasons = F.array_compact(F.array(said("partial+failed", "p", max_partial), said("failed", "f", max_failed)))
     return row.select((F.size(reasons) == 0).alias("ok"), F.array_join(reasons, "; ").alias("reasons"), F.col("p").alias("partial_ratio"), F.col("f").alias("failed_ratio"))
 

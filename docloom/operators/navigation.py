@@ -89,6 +89,15 @@ def uncrawled(nav: DataFrame, crawled_ids: DataFrame, base_url: Column, docs_hos
     return wanted.join(crawled_ids.select("id"), "id", "left_anti")
 
 
+def supplement(nav: DataFrame, links: DataFrame, base_url: Column) -> DataFrame:
+    """nav with rows of its own for links (url, title, ord) that it lacks: domain and slug by URL, at the root."""
+    known = nav.select(S.normalize_url(F.col("url")).alias("norm_url")).distinct()
+    new = links.withColumn("norm_url", S.normalize_url(F.col("url"))).join(known, "norm_url", "left_anti").groupBy("norm_url").agg(F.min_by(F.struct("title", "ord"), "ord").alias("first"))
+    slug, domain = S.slug_from_url(F.col("norm_url"), base_url), S.domain_from_url(F.col("norm_url"), base_url)
+    rows = new.select(F.col("norm_url").alias("url"), F.coalesce(S.blank_as_null(F.col("first.title")), S.humanize_slug(slug)).alias("title"), slug.alias("slug"), domain.alias("domain"), F.lit(0).alias("depth"), F.lit(0).alias("order"), F.lit(None).cast("string").alias("parentSlug"), F.array(domain).alias("navPath"), F.array(S.domain_title(domain)).alias("pathTitles"), "first.ord")
+    return nav.unionByName(rows)
+
+
 def resolve_ids(pages: DataFrame, known: DataFrame) -> DataFrame:
     """pages (id, ...) with the URL that has this id; unmatched rows keep a null url."""
     return pages.join(known.select(S.url_hash(F.col("url")).alias("id"), F.col("url").alias("resolved_url")).groupBy("id").agg(F.max("resolved_url").alias("resolved_url")), "id", "left")

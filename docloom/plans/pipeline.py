@@ -39,6 +39,11 @@ def rebuild(raw: DataFrame, nav: DataFrame | None = None, base_url: Column | Non
     return out.withColumn("domain", F.col("loc_domain")).withColumn("subcategory", F.col("loc_subcategory")).withColumn("storageSegments", F.col("loc_segments")).withColumn("breadcrumbs", F.when(F.size("loc_breadcrumbs") > 0, F.col("loc_breadcrumbs")).otherwise(F.col("breadcrumbs"))).drop("loc_domain", "loc_subcategory", "loc_segments", "loc_breadcrumbs", "loc_filename")
 
 
+def limited(raw: DataFrame, settings: Settings, order: str = "page_id") -> DataFrame:
+    """The first pages up to the limit on saved documents; 0 is no limit."""
+    return raw.orderBy(order).limit(settings.max_pages) if settings.max_pages else raw
+
+
 def rebuild_counts(raw_ids: DataFrame, known: DataFrame) -> DataFrame:
     """rebuilt and missingUrl of a cache of ids."""
     return navigation.resolve_ids(raw_ids, known).agg(F.count_if(F.col("resolved_url").isNotNull()).alias("rebuilt"), F.count_if(F.col("resolved_url").isNull()).alias("missingUrl"))
@@ -48,7 +53,8 @@ def relocation_plan(docs: DataFrame, nav: DataFrame, base_url: Column, order: st
     """docs (id, url, title, domain, endpoint, old_path, order) with new_path and action: move, unchanged or skip (a taken path)."""
     at = navigation.storage_location(docs, nav, base_url)
     name = S.document_filename(F.col("url"), F.col("title"), base_url, F.col("endpoint.path"), F.col("endpoint.method"), F.col("id"))
-    at = at.withColumn("new_path", S.json_path(F.col("loc_domain"), F.regexp_replace(name, r"\.md\z", ".json"), F.col("loc_segments")))
+    at = at.withColumn("filename", F.regexp_replace(name, r"\.md\z", ".json"))
+    at = at.withColumn("new_path", S.json_path(F.col("loc_domain"), F.col("filename"), F.col("loc_segments")))
     first = at.groupBy("new_path").agg(F.min(order).alias("winner"))
     out = at.join(first, "new_path")
     return out.select("id", "old_path", "new_path", F.when(F.col(order) != F.col("winner"), "skip").when(F.col("old_path") == F.col("new_path"), "unchanged").otherwise("move").alias("action"))

@@ -459,8 +459,8 @@ _SPECS = """(SELECT * FROM (VALUES (1, '{"openapi":"3.0.0","paths":{"/a":{"get":
 
 @register(
     "openapi_endpoints",
-    f"""WITH s AS (SELECT spec_id, CASE WHEN json_valid(body) THEN body::JSON END AS j FROM {_SPECS}), p AS (SELECT spec_id, j, unnest(json_keys(j, '$.paths')) AS path FROM s WHERE j IS NOT NULL), m AS (SELECT spec_id, path, json_extract(j, ['$.paths."' || path || '"'])[1] AS item FROM p),
- e AS (SELECT spec_id, path, item, unnest(json_keys(item)) AS method FROM m) SELECT spec_id, upper(method) AS method, path, json_extract_string(item, '$.' || method || '.summary') AS summary FROM e WHERE method IN ('get', 'post', 'put', 'patch', 'delete', 'head', 'options')""",
+    f"""WITH s AS (SELECT spec_id, CASE WHEN json_valid(body) THEN body::JSON END AS j FROM {_SPECS}), p AS (SELECT spec_id, unnest(map_entries(CAST(json_extract(j, '$.paths') AS MAP(VARCHAR, JSON)))) AS e FROM s WHERE j IS NOT NULL),
+ m AS (SELECT spec_id, e.key AS path, unnest(map_entries(CAST(e.value AS MAP(VARCHAR, JSON)))) AS i FROM p) SELECT spec_id, upper(i.key) AS method, path, json_extract_string(i.value, '$.summary') AS summary FROM m WHERE i.key IN ('get', 'post', 'put', 'patch', 'delete', 'head', 'options')""",
 )
 def openapi_endpoints(spark, d):
     return api.openapi_endpoints(spark.sql(f"SELECT * FROM {_SPECS}"))
@@ -502,6 +502,25 @@ def frontier_enqueue(spark, d):
     return frontier.snapshot(frontier.enqueue(frontier.mark(state, done), p))
 
 
+@register("tables_markdown", "SELECT * FROM (VALUES (1::INTEGER, '**C**' || chr(10) || chr(10) || '| a | b |' || chr(10) || '| --- | --- |' || chr(10) || '| 1 |  |' || chr(10) || '| 2 | 3 |'), (2::INTEGER, '| h |' || chr(10) || '| --- |' || chr(10) || '| v |')) AS t(k, markdown)")
+def tables_markdown(spark, d):
+    rows = spark.createDataFrame([(1, [(["a", "b"], [["1"], ["2", "3", "4"]], "C")]), (2, [([], [["h"], ["v"]], None)])], "k int, t array<struct<headers:array<string>,rows:array<array<string>>,caption:string>>")
+    return rows.select("k", S.tables_markdown(F.col("t")).alias("markdown"))
+
+
+@register("nav_supplement", f"WITH n AS (SELECT DISTINCT norm_url FROM {_SEEDED}), p AS (SELECT {D.norm_url('url')} AS norm_url, min(ord) AS ord FROM {_PAGES} GROUP BY 1) SELECT norm_url AS url, {D.url_slug('norm_url')} AS slug, {D.url_domain('norm_url')} AS domain FROM p WHERE norm_url NOT IN (SELECT norm_url FROM n)")
+def nav_supplement(spark, d):
+    nav = _seeded_nav(spark, d)
+    links = _page_docs(spark, d).select("url", "title", "ord")
+    return navigation.supplement(nav, links, _own("norm_url")).where("depth = 0").select("url", "slug", "domain")
+
+
+@register("health", f"SELECT count(*) AS html, count(*) FILTER (ord % 5 > 0) AS json, count(*) FILTER (ord % 5 = 0) AS unparsed FROM {_PAGES}")
+def health(spark, d):
+    p = _page_docs(spark, d)
+    return corpus.health(p.select("id"), p.where("ord % 5 > 0").select("id"))
+
+
 @register("domain_slugs", "SELECT * FROM (VALUES ('start', 0::INTEGER), ('banking', 2::INTEGER), ('v1-pier', 7::INTEGER), ('v1-new', 999::INTEGER)) AS t(slug, rank)")
 def domain_slugs(spark, d):
     urls = spark.sql("SELECT * FROM (VALUES ('https://h/banking/x'), ('https://h/start'), ('https://h/v1-pier/reference/a'), ('https://h/v1-new/b'), ('https://h/other/c'), ('https://h/banking/z')) AS t(url)")
