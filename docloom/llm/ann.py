@@ -63,7 +63,8 @@ def build_index(rows: DataFrame, dim: int, seed: int = 7) -> DataFrame:
         yield pa.RecordBatch.from_arrays([pa.array([total.tolist()]), pa.array([n])], ["s", "n"])
 
     parts = rows.select("v").mapInArrow(sums, "s array<double>, n long")
-    mean = parts.select(F.posexplode("s").alias("i", "x"), "n").groupBy("i").agg((F.sum("x") / F.greatest(F.sum("n"), F.lit(1))).alias("m")).orderBy("i").toPandas()["m"].to_numpy()
+    mean = parts.select(F.posexplode("s").alias("i", "x"), "n").groupBy("i").agg((F.sum("x") / F.greatest(F.sum("n"), F.lit(1))).alias("m")).orderBy("i").toPandas()["m"].to_numpy(np.float64)
+    mean = mean if len(mean) == dim else np.zeros(dim)  # no rows
     turn = _rotation(dim, seed)
 
     def code(batches):

@@ -34,9 +34,9 @@ LEAF = ["domain", "lang", "source"]
 
 @dataclass(frozen=True)
 class Mixture:
-    """Weights by domain, language and source (others: 1), the domain of a row, and the budget as a share of all tokens."""
+    """Weights by domain, language and source (others: 1), the SQL expression of a row's domain, and the budget as a share of all tokens."""
 
-    domain: Column
+    domain: str
     domains: dict[str, int]
     langs: dict[str, int]
     sources: dict[str, int]
@@ -60,7 +60,7 @@ def tokens(text: Column) -> Column:
 
 def keyed(docs: DataFrame, mixture: Mixture, lang: str = "lang", source: str = "source") -> list[Column]:
     named = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("(none)"))
-    return [F.coalesce(mixture.domain, F.lit("(none)")).alias("domain"), named(lang).alias("lang"), named(source).alias("source")]
+    return [F.coalesce(F.expr(mixture.domain), F.lit("(none)")).alias("domain"), named(lang).alias("lang"), named(source).alias("source")]
 
 
 def _filled(nodes: DataFrame, parent: list[str]) -> DataFrame:
@@ -104,6 +104,7 @@ def plan(rows: DataFrame, mixture: Mixture) -> DataFrame:
     by = placed.groupBy(*LEAF, "bucket", "rest").agg(F.sum("n_tokens").alias("t"))
     order = Window.partitionBy(*LEAF).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     edge = by.withColumn("base", F.coalesce(F.sum("t").over(order), F.lit(0))).where("base < rest and rest <= base + t").select(*LEAF, "bucket", "base")
+    edge = saved(edge, "edge")  # a row per leaf: where these are few, no row of the corpus moves for it
     units = placed.join(edge, [*LEAF, "bucket"]).groupBy(*LEAF, "key", "rest", "base").agg(F.sum("n_tokens").alias("t"))
     order = Window.partitionBy(*LEAF).orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
     cut = units.withColumn("cut_start", F.col("base") + F.coalesce(F.sum("t").over(order), F.lit(0))).where("cut_start < rest and rest <= cut_start + t")
@@ -133,8 +134,8 @@ def mixed(docs: DataFrame, mixture: Mixture, doc_id: str = "doc_id", text: str =
     return counted(held, found, mixture).where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
 
 
-def sql(mixture: Mixture, domain: str) -> str:
-    """DuckDB SQL for select() over documents; domain is the SQL of the row's domain."""
+def sql(mixture: Mixture) -> str:
+    """DuckDB SQL for select() over documents."""
     case = lambda c, w: f"CASE {' '.join(f"WHEN {c} = '{k}' THEN {v}" for k, v in w.items())} ELSE 1 END" if w else "1"
 
     def fill(src: str, out: str, parent: str, name: str, weight: str) -> str:
@@ -147,7 +148,7 @@ def sql(mixture: Mixture, domain: str) -> str:
 {out} AS (SELECT * EXCLUDE (w, before, fromw, full_, left_, ws, above), CASE WHEN full_ THEN cap ELSE (left_ * w) // ws END AS budget FROM {out}3)"""
 
     return f"""
-WITH r AS (SELECT doc_id, {domain} AS domain, coalesce(lang, '(none)') AS lang, coalesce(source, '(none)') AS source,
+WITH r AS (SELECT doc_id, {mixture.domain} AS domain, coalesce(lang, '(none)') AS lang, coalesce(source, '(none)') AS source,
   CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS n_tokens FROM documents),
 leaf AS (SELECT domain, lang, source, sum(n_tokens) AS tokens, sum(n_tokens) * {mixture.max_epochs} AS cap FROM r GROUP BY ALL),
 lang AS (SELECT domain, lang, sum(cap) AS cap FROM leaf GROUP BY ALL),

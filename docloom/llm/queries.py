@@ -10,17 +10,13 @@ from docloom.llm.common import table
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
-def domain_of_source():
-    """The tree's first level: src0 to src4 are web, src5 to src14 books, the rest forums."""
-    number = F.try_to_number(F.regexp_extract(F.coalesce("source", F.lit("")), "^src([0-9]{1,6})$", 1), F.lit("999999"))
-    return F.when(number <= 4, "web").when(number <= 14, "books").otherwise("forum")
-
-
-_DOMAIN_SQL = "CASE WHEN try_cast(regexp_extract(coalesce(source, ''), '^src([0-9]{1,6})$', 1) AS INT) <= 4 THEN 'web' WHEN try_cast(regexp_extract(coalesce(source, ''), '^src([0-9]{1,6})$', 1) AS INT) <= 14 THEN 'books' ELSE 'forum' END"
+_NUMBER = "try_cast(regexp_extract(coalesce(source, ''), '^src([0-9]{1,6})$', 1) AS INT)"
+#: The tree's first level: src0 to src4 are web, src5 to src14 books, the rest forums.  Read alike by Spark and DuckDB.
+DOMAIN = f"CASE WHEN {_NUMBER} <= 4 THEN 'web' WHEN {_NUMBER} <= 14 THEN 'books' ELSE 'forum' END"
 
 
 def mixture(budget_num: int = 8, budget_den: int = 10) -> mixing.Mixture:
-    return mixing.Mixture(domain_of_source(), {"web": 40, "books": 35, "forum": 25}, {"en": 50, "de": 20, "fr": 20, "es": 10}, {"src0": 3}, budget_num, budget_den, max_epochs=2, seed=17)
+    return mixing.Mixture(DOMAIN, {"web": 40, "books": 35, "forum": 25}, {"en": 50, "de": 20, "fr": 20, "es": 10}, {"src0": 3}, budget_num, budget_den, max_epochs=2, seed=17)
 
 
 def op1_mixing(spark, sf_dir):
@@ -85,7 +81,7 @@ def _escaped(c: str) -> str:
 
 
 ORACLES = {
-    "op1_mixing": mixing.sql(mixture(), _DOMAIN_SQL),
+    "op1_mixing": mixing.sql(mixture()),
     "op7_licenses": licenses.sql(),
     "op4_chat": f"""
 WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')

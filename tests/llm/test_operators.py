@@ -117,7 +117,7 @@ def brute_mix(rows, m, domain):
 
 def test_mixing(spark, monkeypatch):
     monkeypatch.setattr(mixing, "BUCKET_ROWS", 4)
-    m = mixing.Mixture(F.when(F.col("source") == "src1", "a").otherwise("b"), {"a": 3}, {"en": 2, "de": 5}, {"src2": 4}, 7, 10, max_epochs=2)
+    m = mixing.Mixture("CASE WHEN source = 'src1' THEN 'a' ELSE 'b' END", {"a": 3}, {"en": 2, "de": 5}, {"src2": 4}, 7, 10, max_epochs=2)
     docs = documents(spark).withColumn("copies", F.lit("clash")).withColumn("key", F.lit(0))
     got = mixing.select(docs, m).collect()
     want = brute_mix(docs.collect(), m, lambda r: "a" if r.source == "src1" else "b")
