@@ -6,7 +6,8 @@ meets a template when it holds at least THRESHOLD of the template's distinct
 words (num / den, in whole numbers).
 
 Template words are ordered globally by how many documents of the corpus hold
-them, rarest first.  A block can only meet a template if it holds one of the
+them, rarest first.  A text whose words hold too little of every template is
+left at once.  A block can only meet a template if it holds one of the
 template's first ``n - need + 1`` words (prefix filter), has at least ``need``
 template words at all (length filter) and, at the common prefix word, both
 sides have enough words left (positional filter).  Survivors are verified by
@@ -23,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docloom.llm.common import saved
+
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BLOCK, STRIDE = 64, 32
@@ -56,8 +59,14 @@ def _words(text: str) -> list[str]:
 
 
 def words(text: Column) -> Column:
-    """The words of a text, A-Z lower-cased."""
-    low = F.translate(F.coalesce(text.cast("string"), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    """The words of a text, A-Z lower-cased.
+
+    ``lower`` is far cheaper than a translation table.  It also lowers other
+    letters, which no template and no phrase has; the two whose lower case
+    holds an ASCII letter (U+212A, U+0130) are replaced first.
+    """
+    raw = F.coalesce(text.cast("string"), F.lit(""))
+    low = F.lower(F.replace(F.replace(raw, F.lit("\u212a"), F.lit("\u0138")), F.lit("\u0130"), F.lit("\u0131")))
     return F.regexp_extract_all(low, F.lit(WORD), F.lit(0))
 
 
@@ -69,11 +78,14 @@ def template_sets(templates=TEMPLATES) -> list[tuple[str, list[str]]]:
     return [(label, sorted(set(_words(t)))) for label, t in templates]
 
 
+def _need(words_of: list[str], num: int, den: int) -> int:
+    return -(-len(words_of) * num // den)
+
+
 def rank_words(rows: DataFrame, sets: list[tuple[str, list[str]]]) -> list[str]:
-    """The templates' words in the global order: by the number of rows of w that hold them, rarest first."""
-    vocabulary = sorted({w for _, s in sets for w in s})
-    count = dict(rows.select(F.explode(F.array_intersect("w", _strings(vocabulary))).alias("t")).groupBy("t").count().collect())  # one row a template word
-    return sorted(vocabulary, key=lambda t: (count.get(t, 0), t))
+    """The templates' words in the global order: by the number of rows (held: a row's template words) that hold them, rarest first."""
+    count = dict(rows.select(F.explode("held").alias("t")).groupBy("t").count().collect())  # one row a template word
+    return sorted({w for _, s in sets for w in s}, key=lambda t: (count.get(t, 0), t))
 
 
 def blocks_meeting(rows: DataFrame, sets: list[tuple[str, list[str]]], order: list[str], num: int = NUM, den: int = DEN) -> DataFrame:
@@ -83,7 +95,7 @@ def blocks_meeting(rows: DataFrame, sets: list[tuple[str, list[str]]], order: li
     entries, need_of = [], []
     for label, s in sets:
         ranks = sorted(rank[t] for t in s)
-        need = -(-len(ranks) * num // den)
+        need = _need(s, num, den)
         need_of.append(need)
         entries += [(r, label, ranks, len(ranks), need, i) for i, r in enumerate(ranks[: len(ranks) - need + 1])]
     prefix = spark.createDataFrame(entries, "rank int, label string, ranks array<int>, n int, need int, i int")
@@ -104,11 +116,8 @@ def blocks_meeting(rows: DataFrame, sets: list[tuple[str, list[str]]], order: li
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", phrases: dict[str, str] = PHRASES, templates=TEMPLATES) -> DataFrame:
     """Per document row: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score (the best containment; 1 with a base label)."""
-    base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text).cast("string")).alias("h"), words(F.col(text)).alias("w"))
     sets = template_sets(templates)
-    found = blocks_meeting(base, sets, rank_words(base, sets))
-    found = found.groupBy("doc_id", "h").agg(F.collect_set("label").alias("more"), F.max("containment").alias("best")).withColumnsRenamed({"doc_id": "id", "h": "hh"})
-
+    vocabulary = sorted({w for _, s in sets for w in s})
     none = F.expr("cast(array() as array<struct<p:int,label:string>>)")
 
     def places(phrase: str, label: str) -> Column:
@@ -118,7 +127,16 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", phrases: d
         return F.when((F.size("w") >= len(p)) & F.array_contains("w", p[0]) & F.array_contains("w", p[-1]), all_).otherwise(none)
 
     hits = F.concat(*[places(p, label) for p, label in phrases.items()])
-    rows = base.select("doc_id", "h", F.size("w").cast("long").alias("n_words"), hits.alias("hits"))
+    # one scan: a text's words are cut once, and kept only where the whole text holds enough of some template
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text).cast("string")).alias("h"), words(F.col(text)).alias("w"))
+    rows = rows.select("doc_id", "h", "w", F.array_intersect("w", _strings(vocabulary)).alias("held"))
+    able = F.lit(False)
+    for _, s in sets:
+        able = able | (F.size(F.array_intersect("held", _strings(s))) >= _need(s, NUM, DEN))
+    rows = rows.select("doc_id", "h", F.size("w").cast("long").alias("n_words"), hits.alias("hits"), "held", F.when(able, F.col("w")).alias("w"))
+    rows = saved(rows, "words")
+    found = blocks_meeting(rows.where("w is not null").select("doc_id", "h", "w"), sets, rank_words(rows, sets))
+    found = found.groupBy("doc_id", "h").agg(F.collect_set("label").alias("more"), F.max("containment").alias("best")).withColumnsRenamed({"doc_id": "id", "h": "hh"})
     rows = rows.select(
         "doc_id", "h", "n_words", F.size("hits").cast("long").alias("n_base"), F.array_min("hits.p").cast("long").alias("first_word"), F.array_max("hits.p").cast("long").alias("last_word"), F.array_sort(F.array_distinct("hits.label")).alias("own"),
     )
