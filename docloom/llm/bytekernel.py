@@ -116,7 +116,11 @@ def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, value: np
     return mix((h[ends] - h[starts]) * q[starts] + (ends - starts).astype(U) * U(0xD6E8FEB86659FD93))
 
 
-def slices(column: pa.Array, most_bytes: int = 4 << 20, most_rows: int = 1 << 20):
+#: Text that is worked on at once; a power of two less one, so that the table of powers has 16 MB.
+SLICE = (1 << 20) - 1
+
+
+def slices(column: pa.Array, most_bytes: int = SLICE, most_rows: int = 1 << 20):
     """(first row, end row) of pieces of about most_bytes of text; one row at least."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()

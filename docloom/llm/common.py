@@ -63,7 +63,15 @@ def release(spark: SparkSession) -> None:
     drop(spark, list(_scratch))
 
 
+def bound_batches(spark: SparkSession, rows: int = 500) -> None:
+    """Arrow batches of few rows: texts may be long, and a batch is held twice, by the JVM and by its Python worker."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, rows)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -192,7 +192,7 @@ def write_shards(docs: DataFrame, tokenizer: str | None = None, end_id: int = 2,
         for batch in batches:
             ids = np.asarray(batch.column(0).fill_null(0))
             nulls = np.asarray(batch.column(0).is_null())
-            for i, j in slices(batch.column(1), 2 << 20):
+            for i, j in slices(batch.column(1)):
                 tokens, count = coder.encode(batch.column(1).slice(i, j - i))
                 total = np.cumsum(count)
                 if held and size + len(tokens) > shard_tokens:

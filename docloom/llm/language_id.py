@@ -63,7 +63,7 @@ def _counts(train: DataFrame) -> DataFrame:
     def go(batches):
         for batch in batches:
             langs = np.array(batch.column(0).to_pylist(), object)
-            for i, j in slices(batch.column(1), 2 << 20):
+            for i, j in slices(batch.column(1)):
                 raw, off = text_bytes(batch.column(1).slice(i, j - i))
                 s, e, first = word_spans(raw, off, _LETTER)
                 h = span_hashes(raw, s, e)
@@ -180,7 +180,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] |
         for batch in batches:
             column = batch.column(batch.num_columns - 1)
             rest = batch.select(list(range(batch.num_columns - 1)))
-            for i, j in slices(column, 2 << 20):
+            for i, j in slices(column):
                 best, share = opened.score(column.slice(i, j - i)) if opened else (np.full(j - i, -1), np.zeros(j - i))
                 yield pa.RecordBatch.from_arrays([*rest.slice(i, j - i).columns, pa.array(names[best], pa.string()), pa.array(share)], [*rest.schema.names, "lang_pred", "score"])
 

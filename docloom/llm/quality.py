@@ -210,7 +210,7 @@ def train(docs: DataFrame, labels: DataFrame, held_out: Column, doc_id: str = "d
 
     def go(batches):
         for batch in batches:
-            for i, j in slices(batch.column(1), 2 << 20):
+            for i, j in slices(batch.column(1)):
                 x = features(batch.column(1).slice(i, j - i))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float64()))], ["y", "x"])
 
@@ -227,7 +227,7 @@ def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
 
     def go(batches):
         for batch in batches:
-            for i, j in slices(batch.column(2), 2 << 20):
+            for i, j in slices(batch.column(2)):
                 score = model.score(features(batch.column(2).slice(i, j - i)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(score), pa.array((score >= threshold).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 
