@@ -23,6 +23,7 @@ def _stage(f, first: bool = False):
             common.drop(spark, _left)
         _left.clear()
         before = set(common.scratch_paths())
+        common.bound_batches(spark)
         out = f(spark, docs, sf_dir)
         _left.extend(x for x in common.scratch_paths() if x not in before)
         return out
@@ -38,17 +39,21 @@ def _language(spark, docs, sf_dir):
     return language_id.predict(rows, model, "body", ["row"]).where("lang_pred <> 'und'").select("row.*")
 
 
+#: Ids of dropped documents are broadcast up to this many (16 bytes each), else joined by a shuffle.
+DROPPED_SENT = 1_000_000
+
+
 def _near_duplicates(spark, docs, sf_dir):
-    """Of each group of near copies (five-word shingles, Jaccard 0.8 or more, and chains of such) the row with the smallest doc_id stays."""
-    found = ngram_join.jaccard_components(docs, k=5, num=80, den=100)
-    keep = common.saved(found.where("component_id <=> doc_id").groupBy("doc_id").agg(F.count("*").alias("rows")), "kept")
-    out = docs.join(keep.select(F.col("doc_id").alias("kept_id")), F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
-    twice = keep.where("rows > 1 and doc_id is not null")
+    """Of each group of near copies (five-word shingles, Jaccard 0.8 or more, and chains of such) the row with the smallest doc_id stays; rows without an id stay."""
+    found = ngram_join.jaccard_components(docs, k=5, num=80, den=100).where("doc_id is not null")
+    by_id = common.saved(found.groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.max("component_id").alias("last"), F.count("*").alias("rows")), "groups")
+    gone = by_id.where("component_id <> doc_id and last <> doc_id").select(F.col("doc_id").alias("gone_id"))
+    out = docs.join(F.broadcast(gone) if gone.count() <= DROPPED_SENT else gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
+    twice = by_id.where("rows > 1")
     if twice.isEmpty():
         return out
     # repeated rows of one id: one of each text
-    names = docs.columns
-    tagged = out.join(twice.select(F.col("doc_id").alias("twice_id")), F.col("doc_id") == F.col("twice_id"), "left").select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), "twice_id")
+    tagged = out.join(twice.select(F.col("doc_id").alias("twice_id")), F.col("doc_id") == F.col("twice_id"), "left").select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "twice_id")
     single = tagged.where("twice_id is null").select("row.*")
     return single.unionByName(tagged.where("twice_id is not null").select("row.*").dropDuplicates(["doc_id", "text"]))
 
