@@ -172,7 +172,7 @@ def merge_runs(runs: DataFrame, range_captures: int = RANGE_CAPTURES) -> DataFra
 
     def sample(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(range(every // 2, len(batch), every)))], ["key"])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(range(every // 2, len(batch), every), pa.int64()))], ["key"])
 
     # each run comes in its own order, so every so many-th key of it is a regular sample: 16 keys a range
     keys = sorted(r[0] for r in runs.select("key").mapInArrow(sample, "key string").collect()) if ranges > 1 else []
@@ -265,8 +265,9 @@ def read_archives(runs: DataFrame) -> DataFrame:
     return files.mapInArrow(read, "file string, place long, page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
-def archive(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
+def archive(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", range_captures: int = RANGE_CAPTURES) -> DataFrame:
     """Writes, indexes and reads back: each capture of the merged index with what its record says."""
     runs = write_archives(pages, page_id, url, html)
     found = read_archives(runs)
-    return merge_runs(runs).drop("page_id", "kind", "length").join(found, ["file", "place"]).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "timestamp", "part", "pos")
+    # both sides hold a row per record; Spark would take the records for as small as the list of files they come from
+    return merge_runs(runs, range_captures).drop("page_id", "kind", "length").join(found.hint("merge"), ["file", "place"]).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "timestamp", "part", "pos")

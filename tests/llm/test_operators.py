@@ -405,13 +405,12 @@ def test_loser_tree():
         assert [lists[i][j] for i, j in warc.LoserTree(lists)] == sorted(itertools.chain(*lists))
 
 
-def test_warc(spark, monkeypatch):
-    monkeypatch.setattr(warc, "RANGE_CAPTURES", 8)
+def test_warc(spark):
     big, big2 = "<p>" + "ä" * 900, "x" * 1000
     rows = [(i, f"https://www.Example.com/a{i % 5}?q=ü {i % 2}", [big, big2, f"small {i % 3}", None, "y" * 999][i % 5]) for i in range(60)]
     rows += [(None, None, big), (None, "not a url\n", ""), (3, "https://e.org/", big), (57, "https://[bad", big2)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("digest", F.lit("clash"))
-    got = warc.archive(pages).collect()
+    got = warc.archive(pages, range_captures=8).collect()
     assert len(got) == len(rows)
     keep = {}
     for i, _, h in rows:
