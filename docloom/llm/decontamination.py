@@ -13,7 +13,9 @@ term's offset and intersected, rarest first, until one is empty or all terms
 agree.
 
 Null and empty texts have no words; a document longer than a block gets a
-block of its own.  Repeated rows are indexed and reported one by one.
+block of its own.  Repeated rows are indexed and reported one by one.  Test
+rows without an id are searched as all others: their words are hit and they
+count as one more item, which only the id list and its digest leave out.
 """
 
 from __future__ import annotations
@@ -139,7 +141,7 @@ def hash_terms(texts: list[str | None]) -> list[np.ndarray]:
     return [h[a:b] for a, b in zip(first[:-1], first[1:], strict=True)]
 
 
-def _search_block(block: Block, items: list[tuple[int, np.ndarray]], window: int):
+def _search_block(block: Block, items: list[tuple[int | None, np.ndarray]], window: int):
     """(start, length, item) arrays of all occurrences of all item windows."""
     starts, lengths, which = [], [], []
     for n, (_, terms) in enumerate(items):
@@ -162,7 +164,7 @@ def _search_block(block: Block, items: list[tuple[int, np.ndarray]], window: int
 
 def _passes(tests: DataFrame, item_id: str, text: str):
     """The test set in pieces of a bounded size, each gathered on its own."""
-    tests = tests.select(F.col(item_id).cast("long").alias("i"), F.col(text).cast("string").alias("t")).where("i is not null and t is not null")
+    tests = tests.select(F.col(item_id).cast("long").alias("i"), F.col(text).cast("string").alias("t")).where("t is not null")
     total = tests.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n = max(1, -(-2 * total // TEST_BYTES) if total > TEST_BYTES else 1)
     for k in range(n):
@@ -174,10 +176,11 @@ HITS = "block long, row long, doc_id long, n_words long, spans array<struct<a:lo
 
 
 def phrase_hits(index: DataFrame, tests: DataFrame, window: int = 10, item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """Per indexed document: its words, the merged word spans hit by any window of any test text, and the test ids with an occurrence."""
+    """Per indexed document: its words, the merged word spans hit by any window of any test text, and the test ids with an occurrence (a null for those without an id)."""
 
     def searcher(items):
-        names = np.array([i for i, _ in items], np.int64)
+        names = np.array([i or 0 for i, _ in items], np.int64)
+        named = np.array([i is not None for i, _ in items], bool)
 
         def search(batches):
             for batch in batches:
@@ -200,7 +203,9 @@ def phrase_hits(index: DataFrame, tests: DataFrame, window: int = 10, item_id: s
                         end = np.maximum.accumulate(start[a:b] + length[a:b])
                         new = np.flatnonzero(np.concatenate([[True], start[a + 1 : b] > end[:-1]]))
                         spans.append([{"a": int(x), "b": int(y)} for x, y in zip(start[a:b][new], end[np.append(new[1:], b - a) - 1], strict=True)])
-                        found.append(np.unique(names[item[a:b]]).tolist())
+                        own = item[a:b]
+                        known = named[own]
+                        found.append(np.unique(names[own[known]]).tolist() + [None] * (not known.all()))
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(np.full(len(block.ids), number)), pa.array(np.arange(len(block.ids))), pa.array(block.ids, mask=block.nulls), pa.array(np.diff(block.first)),
@@ -247,6 +252,6 @@ def contamination(docs: DataFrame, tests: DataFrame, window: int = 10, doc_id: s
     hits = phrase_hits(index, tests, window, item_id, item_text)
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, s: acc + s["b"] - s["a"])
     return hits.select(
-        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), "items",
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), F.array_compact("items").alias("items"),
         F.sha2(F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ","), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"), "spans",
     )

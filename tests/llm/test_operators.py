@@ -263,6 +263,18 @@ def test_decontamination(spark, monkeypatch, budget):
     assert decontamination.contamination(docs, tests.limit(0)).where("contaminated").count() == 0
 
 
+@pytest.mark.parametrize("budget", [1 << 24, 60])
+def test_decontamination_by_items_without_id(spark, monkeypatch, budget):
+    monkeypatch.setattr(decontamination, "TEST_BYTES", budget)
+    one, two = "alpha beta gamma delta epsilon zeta", "some other passage of seven words here"
+    docs = spark.createDataFrame([(1, f"x {one} y"), (2, f"{one} {two}"), (3, two), (4, "nothing")], "doc_id long, text string")
+    tests = spark.createDataFrame([(None, one), (None, one + " y"), (0, two)], "item_id long, text string")
+    got = {r.doc_id: r for r in decontamination.contamination(docs, tests, window=6).collect()}
+    digest = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    want = {1: (7, 1, [], digest(""), True), 2: (13, 2, [0], digest("0"), True), 3: (7, 1, [0], digest("0"), True), 4: (0, 0, [], digest(""), False)}
+    assert {k: (r.n_hit, r.n_items, r["items"], r.items_sha256, r.contaminated) for k, r in got.items()} == want
+
+
 def test_proximity(spark):
     docs = documents(spark)
     index = decontamination.build_index(docs, block_words=200)
