@@ -2,8 +2,8 @@
 
 A shard holds the ids of some documents in ascending doc_id order.  Each round
 counts the adjacent pairs of its sequence and replaces frequent ones by new
-nonterminals, until no pair is frequent enough, the rounds are over or the
-16-bit symbol space is full.  The pairs of one round are chosen so that no
+nonterminals, until no pair is frequent enough or the 16-bit symbol space is
+full.  The pairs of one round are chosen so that no
 symbol is the left part of one and the right part of another; their
 occurrences then never overlap, and a round replaces them all at once.  Pairs
 never span two documents.  A shard stores its rules, each symbol's expansion
@@ -16,6 +16,7 @@ are written each.  Null doc_ids come first.
 
 from __future__ import annotations
 
+import itertools
 import zlib
 
 import numpy as np
@@ -29,7 +30,6 @@ from docloom.llm.common import scratch_path
 from docloom.llm.tokenise import WordEncoder, default_path
 
 SHARD_TOKENS = 1_500_000
-ROUNDS = 5
 LEAST = 8
 RULES_A_ROUND = 3000
 
@@ -56,13 +56,13 @@ def _choose(pairs: np.ndarray, counts: np.ndarray, most: int) -> list[int]:
     return chosen
 
 
-def compress(ids: np.ndarray, starts: np.ndarray, base: int, rounds: int = ROUNDS, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(symbols, start of each document in them, rules as pairs) of concatenated documents of at least one id each."""
+def compress(ids: np.ndarray, starts: np.ndarray, base: int, rounds: int | None = None, least: int = LEAST) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(symbols, start of each document in them, rules as pairs) of concatenated documents of at least one id each; no limit of rounds by default."""
     s = ids.astype(np.uint32)
     last = np.zeros(len(s), bool)
     last[starts[1:] - 1] = True
     rules: list[int] = []
-    for _ in range(rounds):
+    for _ in itertools.count() if rounds is None else range(rounds):
         room = min(RULES_A_ROUND, (1 << 16) - base - len(rules))
         if room <= 0 or len(s) < 2:
             break
@@ -168,7 +168,7 @@ class Shard:
         return self._expand(s[i:j])[a - skip : b - skip]
 
 
-def write_shards(docs: DataFrame, tokenizer: str | None = None, end_id: int = 2, doc_id: str = "doc_id", text: str = "text", shard_tokens: int = SHARD_TOKENS, rounds: int = ROUNDS) -> str:
+def write_shards(docs: DataFrame, tokenizer: str | None = None, end_id: int = 2, doc_id: str = "doc_id", text: str = "text", shard_tokens: int = SHARD_TOKENS, rounds: int | None = None) -> str:
     """Encodes every text, writes the shards in ascending doc_id order and returns their folder."""
     tokenizer = tokenizer or default_path()
 

@@ -183,6 +183,19 @@ def test_grammar_round_trip():
     assert (shard.tokens(3, 700, 1900) == docs[3][700:1900]).all()
 
 
+def test_grammar_goes_on_while_pairs_are_frequent():
+    doc = np.random.default_rng(5).integers(0, 300, 500).astype(np.uint16)
+    ids, start = np.tile(doc, 1000), np.arange(1001) * 500
+    symbols, sym_start, rules = grammar_output.compress(ids, start, 300)
+    inner = np.ones(len(symbols) - 1, bool)
+    inner[sym_start[1:-1] - 1] = False
+    pairs = (symbols[:-1].astype(np.int64) << 16 | symbols[1:])[inner]
+    assert not len(pairs) or np.unique(pairs, return_counts=True)[1].max() < grammar_output.LEAST
+    assert len(symbols) == 1000
+    length, at, pool = grammar_output.expansions(rules, 300)
+    assert all((pool[at[x] : at[x] + length[x]] == doc).all() for x in np.unique(symbols))
+
+
 def test_token_output(spark, tmp_path):
     from tokenizers import Tokenizer
     import public_tokenizers
