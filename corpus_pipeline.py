@@ -32,11 +32,11 @@ def _stage(f, first: bool = False):
 
 
 def _language(spark, docs, sf_dir):
-    """Documents whose language can't be told (no letters, or null) go."""
+    """Documents that are null or have no letter go; others stay whatever the model says, also if there is none."""
     held = F.coalesce(common.crc_mod(F.col("doc_id"), 4) == 2, F.lit(False))
     model = language_id.fit(docs, held)
     rows = docs.select(F.struct("*").alias("row"), F.col("text").alias("body"))
-    return language_id.predict(rows, model, "body", ["row"]).where("lang_pred <> 'und'").select("row.*")
+    return language_id.predict(rows, model, "body", ["row"]).where((F.col("lang_pred") != "und") | F.col("row.text").cast("string").rlike(r"\p{L}")).select("row.*")
 
 
 #: Ids of dropped documents are broadcast up to this many (16 bytes each), else joined by a shuffle.

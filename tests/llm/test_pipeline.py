@@ -56,6 +56,14 @@ def test_repeated_ids_keep_one_of_each_text(spark, tmp_path):
     assert sorted((r.doc_id, r.text) for r in out.collect()) == sorted(set(rows)) and out.columns == docs.columns
 
 
+def test_language_stage_without_a_model(spark, tmp_path):
+    texts = ["plain words", "Größe", "слова", None, "", "12 34 !?", "a"]
+    for lang in (None, "und"):
+        docs = spark.createDataFrame([(i, t, lang, "s") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+        out = corpus_pipeline._language(spark, docs, str(tmp_path))
+        assert sorted(r.doc_id for r in out.collect()) == [0, 1, 2, 6] and out.columns == docs.columns
+
+
 def test_empty_corpus(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
