@@ -1,8 +1,9 @@
 """License scan: an exact set-similarity join of text blocks with license templates, in DataFrame operations alone.
 
 A text's words are cut into blocks of BLOCK words, a new one every STRIDE, so
-any passage of up to BLOCK - STRIDE words lies whole in a block.  A block
-meets a template when it holds at least THRESHOLD of the template's distinct
+any passage of up to BLOCK - STRIDE words lies whole in a block.  Templates of
+more than STRIDE words get blocks of their own: the stride is doubled until it
+holds the template, the block is two strides.  A block meets a template when it holds at least THRESHOLD of the template's distinct
 words (num / den, in whole numbers).
 
 Template words are ordered globally by how many documents of the corpus hold
@@ -33,7 +34,7 @@ NUM, DEN = 85, 100
 
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 
-#: Sentences of well-known licenses, as their publishers print them.
+#: Sentences of well-known licenses, and usual lines that name one.
 TEMPLATES = (
     ("apache", "Licensed under the Apache License, Version 2.0"),
     ("apache", "you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
@@ -50,6 +51,19 @@ TEMPLATES = (
     ("unlicense", "This is free and unencumbered software released into the public domain"),
 )
 
+_AS_IS = "EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+
+#: Whole paragraphs of license notices.  sql() has TEMPLATES alone.
+NOTICES = (
+    ("mit", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
+    ("mit", 'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.'),
+    ("bsd", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."),
+    ("bsd", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
+    ("bsd", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("bsd", 'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY ' + _AS_IS),
+    ("apache", 'Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.'),
+)
+
 
 def _words(text: str) -> list[str]:
     import re
@@ -78,6 +92,14 @@ def template_sets(templates=TEMPLATES) -> list[tuple[str, list[str]]]:
     return [(label, sorted(set(_words(t)))) for label, t in templates]
 
 
+def _stride(template: str) -> int:
+    """The stride of the blocks in which a template lies whole."""
+    stride, n = STRIDE, len(_words(template))
+    while stride < n:
+        stride *= 2
+    return stride
+
+
 def _need(words_of: list[str], num: int, den: int) -> int:
     return -(-len(words_of) * num // den)
 
@@ -88,7 +110,7 @@ def rank_words(rows: DataFrame, sets: list[tuple[str, list[str]]]) -> list[str]:
     return sorted({w for _, s in sets for w in s}, key=lambda t: (count.get(t, 0), t))
 
 
-def blocks_meeting(rows: DataFrame, sets: list[tuple[str, list[str]]], order: list[str], num: int = NUM, den: int = DEN) -> DataFrame:
+def blocks_meeting(rows: DataFrame, sets: list[tuple[str, list[str]]], order: list[str], num: int = NUM, den: int = DEN, stride: int = STRIDE, length: int = BLOCK) -> DataFrame:
     """rows (key columns and w) joined with the templates their blocks meet: the keys, block, label, containment."""
     rank = {t: i for i, t in enumerate(order)}
     spark = rows.sparkSession
@@ -102,9 +124,9 @@ def blocks_meeting(rows: DataFrame, sets: list[tuple[str, list[str]]], order: li
     keys = [c for c in rows.columns if c != "w"]
     hot = sorted({order[r] for r, *_ in entries})
     able = rows.where(F.arrays_overlap("w", _strings(hot)))
-    cut = able.withColumn("block", F.explode(F.sequence(F.lit(0), F.expr(f"(greatest(size(w), 1) - 1) div {STRIDE}")))).where(f"block = 0 or size(w) > block * {STRIDE} + {BLOCK - STRIDE}")
+    cut = able.withColumn("block", F.explode(F.sequence(F.lit(0), F.expr(f"(greatest(size(w), 1) - 1) div {stride}")))).where(f"block = 0 or size(w) > block * {stride} + {length - stride}")
     vocabulary = F.map_from_arrays(_strings(order), F.array(*[F.lit(i) for i in range(len(order))]))
-    held = F.array_intersect(F.slice("w", F.col("block").cast("int") * STRIDE + 1, BLOCK), _strings(order))
+    held = F.array_intersect(F.slice("w", F.col("block").cast("int") * stride + 1, length), _strings(order))
     cut = cut.select(*keys, "block", F.array_sort(F.transform(held, lambda t: vocabulary[t])).alias("b")).where(F.size("b") >= min(need_of))
     met = cut.select(*keys, "block", "b", F.posexplode("b").alias("j", "rank")).join(F.broadcast(prefix), "rank")
     met = met.where((F.size("b") >= F.col("need")) & (F.least(F.col("n") - F.col("i"), F.size("b") - F.col("j")) >= F.col("need")))
@@ -114,7 +136,7 @@ def blocks_meeting(rows: DataFrame, sets: list[tuple[str, list[str]]], order: li
     return met.select(*keys, "block", "label", (F.size(common) / F.col("n")).alias("containment"))
 
 
-def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", phrases: dict[str, str] = PHRASES, templates=TEMPLATES) -> DataFrame:
+def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", phrases: dict[str, str] = PHRASES, templates=TEMPLATES + NOTICES) -> DataFrame:
     """Per document row: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score (the best containment; 1 with a base label)."""
     sets = template_sets(templates)
     vocabulary = sorted({w for _, s in sets for w in s})
@@ -135,7 +157,13 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", phrases: d
         able = able | (F.size(F.array_intersect("held", _strings(s))) >= _need(s, NUM, DEN))
     rows = rows.select("doc_id", "h", F.size("w").cast("long").alias("n_words"), hits.alias("hits"), "held", F.when(able, F.col("w")).alias("w"))
     rows = saved(rows, "words")
-    found = blocks_meeting(rows.where("w is not null").select("doc_id", "h", "w"), sets, rank_words(rows, sets))
+    order = rank_words(rows, sets)
+    found = None
+    for stride in sorted({_stride(t) for _, t in templates}):
+        own_sets = template_sets([x for x in templates if _stride(x[1]) == stride])
+        own_words = {w for _, s in own_sets for w in s}
+        met = blocks_meeting(rows.where("w is not null").select("doc_id", "h", "w"), own_sets, [w for w in order if w in own_words], stride=stride, length=max(BLOCK, 2 * stride))
+        found = met if found is None else found.unionByName(met)
     found = found.groupBy("doc_id", "h").agg(F.collect_set("label").alias("more"), F.max("containment").alias("best")).withColumnsRenamed({"doc_id": "id", "h": "hh"})
     rows = rows.select(
         "doc_id", "h", "n_words", F.size("hits").cast("long").alias("n_base"), F.array_min("hits.p").cast("long").alias("first_word"), F.array_max("hits.p").cast("long").alias("last_word"), F.array_sort(F.array_distinct("hits.label")).alias("own"),

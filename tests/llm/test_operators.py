@@ -353,6 +353,17 @@ def test_licenses(spark):
 # 8
 
 
+def test_long_license_templates(spark):
+    notice = " ".join(f"clause{i} of" for i in range(150))
+    notices = [t for _, t in licenses.NOTICES]
+    texts = [f"{'lead ' * lead}{notice.upper()} {'tail ' * 300}" for lead in (0, 31, 333)] + ["clause1 of clause2", None, "w " * 500]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.scan(docs, templates=(*licenses.TEMPLATES, ("own", notice))).collect()}
+    assert got == {i: ("own", 1.0) if i < 3 else ("", 0.0) for i in range(6)}
+    parts = spark.createDataFrame([(i, f"{'lead ' * 77}{t}{' tail' * 77}") for i, t in enumerate(notices)], "doc_id long, text string")
+    assert {r.doc_id: r.labels for r in licenses.scan(parts).collect()} == {i: label for i, (label, _) in enumerate(licenses.NOTICES)}
+
+
 def test_language_id(spark):
     rng = np.random.default_rng(8)
     stems = {"aa": ["kato", "milu", "taro", "sike"], "bb": ["schu", "grön", "pfer", "zwei"], "cc": ["que", "leur", "ç'eau", "rien"]}
