@@ -6,11 +6,16 @@ A failed URL isn't queued again.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.functions import scalars as S
 
+#: After so many levels their frames are made one.
+LEVELS_JOINED = 16
+
 STATE = "url string, state string, reason string, seq long"
 
 
@@ -48,21 +53,24 @@ def restore(rows: DataFrame) -> DataFrame:
     return good.groupBy(S.normalize_url(F.col("url"), strip_invalid=False).alias("url")).agg(F.max_by("state", rank).alias("state"), F.max_by("reason", rank).alias("reason"), F.min("seq").alias("seq"))
 
 
-def reachable(links: DataFrame, seeds: DataFrame, max_depth: int, checkpoint=None) -> DataFrame:
+def reachable(links: DataFrame, seeds: DataFrame, max_depth: int | None = None, checkpoint=None) -> DataFrame:
     """(url, depth): breadth-first over links (src, dst) from seeds (url), each at its least depth.
 
-    One superstep a level, ended when a level finds nothing new; checkpoint, a
-    function of a frame and a name, cuts the lineage of each.
+    One superstep a level, ended when a level finds nothing new or at max_depth
+    (None: no limit); checkpoint, a function of a frame and a name, cuts the
+    lineage of each.
     """
     cut = checkpoint or (lambda df, name: df.checkpoint())
     seen = cut(seeds.select("url").distinct().withColumn("depth", F.lit(0)), "seen")
     edge = seen
-    for depth in range(1, max_depth + 1):
+    for depth in itertools.count(1) if max_depth is None else range(1, max_depth + 1):
         found = links.join(edge.select(F.col("url").alias("src")), "src").select(F.col("dst").alias("url")).where("url is not null").distinct().join(seen.select("url"), "url", "left_anti").withColumn("depth", F.lit(depth))
         edge = cut(found, "level")
         if edge.isEmpty():
             break
         seen = seen.unionByName(edge)
+        if depth % LEVELS_JOINED == 0:
+            seen = cut(seen, "seen")
     return seen
 
 

@@ -493,7 +493,21 @@ _EDGES = "(SELECT * FROM (VALUES ('a', 'b'), ('b', 'c'), ('c', 'a'), ('b', 'd'),
 
 @register("frontier_bfs", f"WITH RECURSIVE e AS {_EDGES}, r(url, depth) AS (SELECT 'a', 0 UNION SELECT e.dst, r.depth + 1 FROM r JOIN e ON e.src = r.url WHERE r.depth < 6) SELECT url, min(depth)::INTEGER AS depth FROM r GROUP BY url")
 def frontier_bfs(spark, d):
-    return frontier.reachable(spark.sql(f"SELECT * FROM {_EDGES}"), spark.sql("SELECT 'a' AS url"), 6, checkpoint=lambda df, name: df)
+    return frontier.reachable(spark.sql(f"SELECT * FROM {_EDGES}"), spark.sql("SELECT 'a' AS url"), checkpoint=_cut)
+
+
+def _cut(df, name):
+    """A checkpoint, local where the session has no folder for them."""
+    return df.checkpoint() if df.sparkSession.sparkContext.getCheckpointDir() else df.localCheckpoint()
+
+
+# every page is a seed, so only the literal graph is deeper than 1
+@register("frontier_links", f"WITH RECURSIVE e AS (SELECT page_url AS src, url AS dst FROM {D.LINKS} UNION SELECT * FROM {_EDGES}), r(url, depth) AS (SELECT url, 0 FROM (SELECT url FROM pages UNION SELECT 'a') UNION SELECT e.dst, r.depth + 1 FROM r JOIN e ON e.src = r.url WHERE r.depth < 6) SELECT url, min(depth)::INTEGER AS depth FROM r GROUP BY url")
+def frontier_links(spark, d):
+    """Breadth-first over the links of all pages and the literal graph."""
+    links = pages.parse_pages(_t(spark, d, "pages")).select(F.col("url").alias("src"), F.explode("links").alias("dst"))
+    links = _cut(links.distinct().unionByName(spark.sql(f"SELECT * FROM {_EDGES}")), "links")
+    return frontier.reachable(links, _t(spark, d, "pages").select("url").unionByName(spark.sql("SELECT 'a' AS url")), checkpoint=_cut)
 
 
 @register("frontier_enqueue", f"WITH p AS (SELECT {D.norm_url('url')} AS url, min(page_id) AS seq FROM pages GROUP BY 1) SELECT CASE WHEN seq % 3 = 0 THEN 'visited' ELSE 'pending' END AS state, count(*) AS n FROM p GROUP BY 1")

@@ -126,6 +126,19 @@ def test_frontier(spark):
     assert {r.state: r.n for r in frontier.snapshot(frontier.restore(state)).collect()} == {"failed": 1, "pending": 1}
 
 
+def test_reachable_without_a_limit(spark):
+    chain = [(f"n{i}", f"n{i + 1}") for i in range(20)] + [("n20", "n3"), ("n5", None), ("z", "y")]
+    got = frontier.reachable(spark.createDataFrame(chain, "src string, dst string"), spark.createDataFrame([("n0",)], "url string"))
+    assert sorted(map(tuple, got.collect())) == sorted((f"n{i}", i) for i in range(21))
+
+
+def test_frontier_reads_the_links_of_pages(spark, tmp_path):
+    page = lambda *to: "<html><body><main><h1>T</h1><ul>" + "".join(f'<li><a href="{x}">link {x}</a></li>' for x in to) + "</ul></main></body></html>"
+    spark.createDataFrame([(1, "https://h/p", page("/q", "/r")), (2, "https://h/q", page("/s"))], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = dict(map(tuple, queries.frontier_links(spark, str(tmp_path)).collect()))
+    assert got == {"https://h/p": 0, "https://h/q": 0, "https://h/r": 1, "https://h/s": 1, "a": 0, "b": 1, "c": 2, "d": 2, "e": 3}
+
+
 def test_stored_documents_round_trip(spark, tmp_path):
     raw = spark.createDataFrame([(1, "https://h/users", _HTML)], "page_id long, url string, html string")
     docs = pipeline.rebuild(raw).drop("ord", "qualityScore", "issues")
