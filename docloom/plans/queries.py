@@ -432,6 +432,17 @@ def architecture_map(spark, d):
     return out.select("domain", "title", joined("related_domains"), "requires_auth", joined("depends_on"), joined("endpoints"), joined("pages"))
 
 
+@register(
+    "architecture_edges",
+    f"""SELECT domain, 'endpoint' AS kind, ord AS position, 'GET /d/' || ord AS value FROM {_GRAPH} UNION ALL SELECT domain, 'page', ord, {D.slug("content")} FROM {_GRAPH} UNION ALL SELECT domain, 'related', f, related FROM {_RELATED}""",
+)
+def architecture_edges(spark, d):
+    """The domain graph of all documents as rows: an endpoint of each, and its title uncut."""
+    endpoint = F.struct(F.lit("GET").alias("method"), F.concat(F.lit("/d/"), F.col("ord").cast("string")).alias("path"), F.lit(False).alias("authRequired"))
+    docs = _graph_docs(spark, d).withColumns({"title": F.col("content"), "endpoint": endpoint})
+    return corpus.architecture_edges(docs, "ord").select("domain", "kind", "position", "value")
+
+
 # fixed cases
 
 _PATHS = "(SELECT * FROM (VALUES ('/persons/{personId}/documents/{docId}/{personId}'), ('/x/{pageOffset}/{item_uuid}'), ('/plain'), ('/a/{limit}/{name}')) AS t(path))"

@@ -139,6 +139,14 @@ def test_frontier_reads_the_links_of_pages(spark, tmp_path):
     assert got == {"https://h/p": 0, "https://h/q": 0, "https://h/r": 1, "https://h/s": 1, "a": 0, "b": 1, "c": 2, "d": 2, "e": 3}
 
 
+def test_architecture_edges_of_all_documents(spark, tmp_path):
+    texts = ["Some words about les and more words than twenty signs", "Des mots que " + "x" * 100, "the of it", "y"]
+    rows = [(i, t, ["en", "fr", "de", "es"][i]) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {(r.kind, r.position, r.value) for r in queries.architecture_edges(spark, str(tmp_path)).collect() if r.kind != "related"}
+    assert got == {("endpoint", i, f"GET /d/{i}") for i in range(4)} | {("page", i, t.lower().replace(" ", "-")) for i, t in enumerate(texts)}
+
+
 def test_stored_documents_round_trip(spark, tmp_path):
     raw = spark.createDataFrame([(1, "https://h/users", _HTML)], "page_id long, url string, html string")
     docs = pipeline.rebuild(raw).drop("ord", "qualityScore", "issues")
