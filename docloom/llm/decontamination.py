@@ -12,18 +12,23 @@ Search: a phrase is looked up from its rarest terms; lists are shifted by the
 term's offset and intersected, rarest first, until one is empty or all terms
 agree.
 
+Test texts are cut into overlapping pieces of PIECE_WORDS words, and a search
+takes pieces of up to TEST_BYTES at a time; with more than one such pass, each
+pass's hits are written before the next is gathered, and a document's are put
+together by its block's number and its place in the block.
+
 Null and empty texts have no words; a document longer than a block gets a
-block of its own.  Repeated rows are indexed and reported one by one.  Test
+block of its own.  Repeated rows, and blocks of the very same documents, are
+indexed and reported one by one; repeated test rows are searched once.  Test
 rows without an id are searched as all others: their words are hit and they
 count as one more item, which only the id list and its digest leave out.
 """
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,13 +37,14 @@ from docloom.llm.common import saved
 
 GAP = 64
 BLOCK_WORDS = 2_000_000
-#: Test texts up to this many bytes travel with a pass; larger sets take several passes over the index.
+#: Words of tests (8 bytes each) that travel with a pass; larger sets take several passes over the index.
 TEST_BYTES = 16 << 20
+PIECE_WORDS = 100_000
 
-INDEX_SCHEMA = "ids binary, id_nulls binary, first binary, terms binary, extent binary, postings binary"
+INDEX_SCHEMA = "block long, ids binary, id_nulls binary, first binary, terms binary, extent binary, postings binary"
 
 
-def _index_block(ids, nulls, counts, hashes) -> dict:
+def _index_block(block, ids, nulls, counts, hashes) -> dict:
     first = np.zeros(len(counts) + 1, np.int64)
     np.cumsum(counts, out=first[1:])
     row = np.repeat(np.arange(len(counts)), counts)
@@ -46,22 +52,22 @@ def _index_block(ids, nulls, counts, hashes) -> dict:
     h = hashes[order]
     new = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
     return {
-        "ids": ids.tobytes(), "id_nulls": nulls.tobytes(), "first": first.astype(np.uint32).tobytes(), "terms": h[new].tobytes(),
+        "block": block, "ids": ids.tobytes(), "id_nulls": nulls.tobytes(), "first": first.astype(np.uint32).tobytes(), "terms": h[new].tobytes(),
         "extent": np.append(new, len(h)).astype(np.uint32).tobytes(), "postings": (order + row[order] * GAP).astype(np.uint32).tobytes(),
     }
 
 
 def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
-    """One row per block of documents; schema INDEX_SCHEMA."""
+    """One row per block of documents; schema INDEX_SCHEMA.  A block's number is its task's and its place in the task."""
 
     def build(batches):
-        held, words = [], 0
+        held, words, block = [], 0, TaskContext.get().partitionId() << 32
 
         def out():
             cols = [np.concatenate(x) for x in zip(*held, strict=True)]
-            return pa.RecordBatch.from_pylist([_index_block(*cols)], schema=schema)
+            return pa.RecordBatch.from_pylist([_index_block(block, *cols)], schema=schema)
 
-        schema = pa.schema([(n, pa.binary()) for n in ("ids", "id_nulls", "first", "terms", "extent", "postings")])
+        schema = pa.schema([("block", pa.int64()), *((n, pa.binary()) for n in ("ids", "id_nulls", "first", "terms", "extent", "postings"))])
         for batch in batches:
             column = batch.column(1)
             nulls = np.asarray(batch.column(0).is_null())
@@ -71,7 +77,7 @@ def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", blo
                 s, e, first = word_spans(raw, off, ALNUM)
                 if held and words + len(s) > block_words:
                     yield out()
-                    held, words = [], 0
+                    held, words, block = [], 0, block + 1
                 held.append((ids[i:j], nulls[i:j], np.diff(first), span_hashes(raw, s, e)))
                 words += len(s)
         if held:
@@ -120,13 +126,13 @@ class Block:
         return found
 
     def near(self, places: np.ndarray, df: np.ndarray, slop: int) -> np.ndarray:
-        """Positions of the rarest term that have every other term within slop words (slop < GAP)."""
+        """Positions of the first term that have every other term within slop words (slop < GAP)."""
         assert 0 <= slop < GAP
-        order = np.argsort(df, kind="stable").tolist()
-        found = self.listed(places[order[0]]).astype(np.int64)
-        for k in order[1:]:
-            have = self.listed(places[k]).astype(np.int64)
-            found = found[np.searchsorted(have, found + slop, "right") > np.searchsorted(have, found - slop)]
+        found = self.listed(places[0]).astype(np.int64)
+        for k in np.argsort(df, kind="stable").tolist():
+            if k:
+                have = self.listed(places[k]).astype(np.int64)
+                found = found[np.searchsorted(have, found + slop, "right") > np.searchsorted(have, found - slop)]
         return found
 
     def row_of(self, positions: np.ndarray) -> np.ndarray:
@@ -162,14 +168,32 @@ def _search_block(block: Block, items: list[tuple[int | None, np.ndarray]], wind
     return np.concatenate(starts), np.concatenate(lengths), np.concatenate(which)
 
 
-def _passes(tests: DataFrame, item_id: str, text: str):
-    """The test set in pieces of a bounded size, each gathered on its own."""
-    tests = tests.select(F.col(item_id).cast("long").alias("i"), F.col(text).cast("string").alias("t")).where("t is not null")
-    total = tests.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+def _pieces(tests: DataFrame, window: int, item_id: str, text: str) -> DataFrame:
+    """(i, terms): the test texts as hashed words, in pieces that overlap by window - 1 words."""
+
+    def cut(batches):
+        for batch in batches:
+            for i, terms in zip(batch.column(0).to_pylist(), hash_terms(batch.column(1).to_pylist()), strict=True):
+                starts = range(0, max(1, len(terms) - window + 1), PIECE_WORDS)
+                for a in starts if len(terms) else ():
+                    yield pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([terms[a : a + PIECE_WORDS + window - 1].tobytes()], pa.binary())], ["i", "terms"])
+
+    rows = tests.select(F.col(item_id).cast("long").alias("i"), F.col(text).cast("string").alias("t")).where("t is not null")
+    return rows.mapInArrow(cut, "i long, terms binary").distinct()
+
+
+def _passes(tests: DataFrame, window: int, item_id: str, text: str):
+    """(number of passes, their items): the test set in parts of a bounded size, gathered one at a time."""
+    pieces = saved(_pieces(tests, window, item_id, text), "tests")
+    total = pieces.agg(F.sum(F.octet_length("terms"))).first()[0] or 0
     n = max(1, -(-2 * total // TEST_BYTES) if total > TEST_BYTES else 1)
-    for k in range(n):
-        rows = (tests if n == 1 else tests.where(F.pmod(F.xxhash64("i", "t"), F.lit(n)) == k)).collect()
-        yield list(zip([r.i for r in rows], hash_terms([r.t for r in rows]), strict=True))
+
+    def gather():
+        for k in range(n):
+            rows = (pieces if n == 1 else pieces.where(F.pmod(F.xxhash64("i", "terms"), F.lit(n)) == k)).collect()
+            yield [(r.i, np.frombuffer(r.terms, U)) for r in rows]
+
+    return n, gather()
 
 
 HITS = "block long, row long, doc_id long, n_words long, spans array<struct<a:long,b:long>>, items array<long>"
@@ -186,7 +210,6 @@ def phrase_hits(index: DataFrame, tests: DataFrame, window: int = 10, item_id: s
             for batch in batches:
                 for row in batch.to_pylist():
                     block = Block(row)
-                    number = int.from_bytes(hashlib.blake2b(row["ids"] + row["first"] + row["postings"][:4096], digest_size=7).digest(), "big")
                     start, length, item = _search_block(block, items, window)
                     doc = block.row_of(start)
                     start = start - block.base[doc] if len(doc) else start
@@ -208,7 +231,7 @@ def phrase_hits(index: DataFrame, tests: DataFrame, window: int = 10, item_id: s
                         found.append(np.unique(names[own[known]]).tolist() + [None] * (not known.all()))
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(np.full(len(block.ids), number)), pa.array(np.arange(len(block.ids))), pa.array(block.ids, mask=block.nulls), pa.array(np.diff(block.first)),
+                            pa.array(np.full(len(block.ids), row["block"])), pa.array(np.arange(len(block.ids))), pa.array(block.ids, mask=block.nulls), pa.array(np.diff(block.first)),
                             pa.array(spans, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))), pa.array(found, pa.list_(pa.int64())),
                         ],
                         ["block", "row", "doc_id", "n_words", "spans", "items"],
@@ -216,12 +239,13 @@ def phrase_hits(index: DataFrame, tests: DataFrame, window: int = 10, item_id: s
 
         return search
 
-    parts = [index.mapInArrow(searcher(items), HITS) for items in _passes(tests, item_id, text)]
-    if len(parts) == 1:
-        return parts[0]
-    whole = parts[0]
-    for p in parts[1:]:
-        whole = whole.unionByName(p)
+    n, passes = _passes(tests, window, item_id, text)
+    if n == 1:
+        return index.mapInArrow(searcher(next(passes)), HITS)
+    whole = None
+    for items in passes:  # a pass's words are let go once its hits are written
+        part = saved(index.mapInArrow(searcher(items), HITS), "hits")
+        whole = part if whole is None else whole.unionByName(part)
     merged = F.aggregate(
         F.array_sort(F.flatten(F.collect_list("spans"))),
         F.expr("cast(array() as array<struct<a:bigint,b:bigint>>)"),
@@ -231,8 +255,12 @@ def phrase_hits(index: DataFrame, tests: DataFrame, window: int = 10, item_id: s
 
 
 def proximity_hits(index: DataFrame, terms: str, slop: int) -> DataFrame:
-    """(doc_id, position): word positions of the rarest of the terms with all others within slop words."""
-    want = np.unique(hash_terms([terms])[0])
+    """(doc_id, position): word positions of the first of the terms with all others within slop words on either side, one row each.
+
+    Without terms there is none; a term given twice counts once.  Null ids are reported as such.
+    """
+    given = hash_terms([terms])[0]
+    want = given[np.sort(np.unique(given, return_index=True)[1])]
 
     def search(batches):
         for batch in batches:

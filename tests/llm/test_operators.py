@@ -5,12 +5,13 @@ import itertools
 import json
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from docloom.llm import ann, bytekernel, chat, components, decontamination, grammar_output, language_id, licenses, mixing, ngram_join, quality, warc
+from docloom.llm import ann, bytekernel, chat, common, components, decontamination, grammar_output, language_id, licenses, mixing, ngram_join, quality, warc
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -291,12 +292,32 @@ def test_decontamination_by_items_without_id(spark, monkeypatch, budget):
 def test_proximity(spark):
     docs = documents(spark)
     index = decontamination.build_index(docs, block_words=200)
-    got = {(r.doc_id, r.position) for r in decontamination.proximity_hits(index, "w1 w2", 3).collect()}
-    near = set()
+    rows = [(r.doc_id, r.position) for r in decontamination.proximity_hits(index, "w1 w2 W1", 3).collect()]
+    got, near = set(rows), set()
+    assert decontamination.proximity_hits(index, "", 3).count() == 0
     for r in docs.collect():
         w = words(r.text)
-        near |= {r.doc_id for i, x in enumerate(w) if x == "w1" and "w2" in w[max(0, i - 3) : i + 4]}
-    assert {d for d, _ in got} == near
+        near |= {(r.doc_id, i) for i, x in enumerate(w) if x == "w1" and "w2" in w[max(0, i - 3) : i + 4]}
+    assert got == near
+
+
+def test_decontamination_of_equal_blocks_in_several_passes(spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "TEST_BYTES", 300)
+    monkeypatch.setattr(decontamination, "PIECE_WORDS", 7)
+    passage = " ".join(f"p{i}" for i in range(60))
+    text = f"before {passage} after"
+    docs = spark.createDataFrame([(1, text)] * 4 + [(2, "none of it")] * 2, "doc_id long, text string").repartition(6)
+    tests = spark.createDataFrame([(k, passage) for k in range(12)] + [(0, passage)], "item_id long, text string")
+    got = [(r.doc_id, r.n_words, r.n_hit, r.n_items) for r in decontamination.contamination(docs, tests).collect()]
+    assert sorted(got) == [(1, 62, 60, 12)] * 4 + [(2, 3, 0, 0)] * 2
+
+
+def test_decontamination_of_a_very_long_text(spark):
+    filler = " ".join(f"f{i % 977}" for i in range(400_000))
+    passage = "ten words that stand at the end of one long"
+    docs = spark.createDataFrame([(1, f"{filler} {passage}"), (2, filler)], "doc_id long, text string")
+    got = {r.doc_id: (r.n_words, r.n_hit) for r in decontamination.contamination(docs, spark.createDataFrame([(1, passage)], "item_id long, text string")).collect()}
+    assert got == {1: (400_010, 10), 2: (400_000, 0)}
 
 
 # 6
@@ -318,6 +339,51 @@ def test_quality_learns_shape(spark):
     assert quality.classify(docs.limit(0), labels).count() == 0
 
 
+def brute_features(text):
+    b = (text or "").encode().translate(bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256)))
+    raw = (text or "").encode()
+    w, lines = re.findall(rb"[^\x20\x09-\x0d]+", b), re.findall(rb"[^\n]+", b)
+    n, m = max(len(w), 1), max(len(lines), 1)
+    size = max(sum(map(len, w)), 1)
+    count = lambda signs: sum(raw.count(bytes([c])) for c in signs.encode())
+    upper, lower = count("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), count("abcdefghijklmnopqrstuvwxyz")
+    rare, distinct = "#$%&*+/<=>@[\\]^_`{|}~", len(set(w))
+    return [
+        np.log1p(len(w)), size / n * bool(w), upper / max(upper + lower, 1), count("0123456789") / size, count("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~") / size, count(rare) / size,
+        distinct / n, max(Counter(w).values(), default=0) / n, sum(x == y for x, y in itertools.pairwise(w)) / n, count("!") / n, 1 - len(set(lines)) / m if lines else 0, len(w) / m,
+        sum(len(x) <= 3 for x in w) / n, sum(c >= 128 for c in raw) / size, count("|") / n, count(".!?") / n, sum(x[-1:].decode("latin1") in rare + "!" for x in w) / n, distinct / np.sqrt(n),
+    ]
+
+
+def test_quality_by_brute_force():
+    texts = [*sample_texts(), "A!! b|c | d? \n\nsame line\nSame Line\n--x [y] é~", "word " * 300_000, "z" * 1_200_000]
+    x = quality.features(bytekernel.pa.array(texts, bytekernel.pa.string()))
+    assert np.allclose(x, [brute_features(t) for t in texts])
+    rng = np.random.default_rng(66)
+    x = rng.integers(0, 9, (500, 4)).astype(float)
+    y = ((x[:, 0] > 4) ^ (x[:, 1] > 3)).astype(float)
+    model = quality.Additive().fit(x, y)
+    assert np.mean((model.score(x) > 0.5) == y) > 0.95  # which only a pair of features tells
+    for row, got in zip(x[:50].tolist(), model.score(x[:50]), strict=True):
+        z = model.base + sum(t[sum(c <= v for c in edges)] for v, edges, t in zip(row, model.edges, model.tables, strict=True))
+        z += sum(t[sum(c <= row[i] for c in model.coarse[i]), sum(c <= row[j] for c in model.coarse[j])] for (i, j), t in zip(model.pairs, model.grids, strict=True))
+        assert abs(got - 1 / (1 + np.exp(-z))) < 1e-12
+
+
+def test_samples_of_huge_tables():
+    assert common.share_below(20_000, 100) == common.share_below(20_000, 20_000) == 1 << 62
+    for n in (10**6, 10**11, 10**14):
+        assert abs(common.share_below(20_000, n) / 2**62 * n - 20_000) < 1
+
+
+def test_quality_repeated_and_long_rows(spark):
+    rows = [(1, "good words stand here " * 20), (1, "good words stand here " * 20), (2, "bad !! " * 20), (3, "bad !! " * 200_000), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0), (3, 0), (None, 1), (4, None)], "doc_id long, quality int")
+    got = sorted((r.doc_id, r.score) for r in quality.classify(docs, labels).collect())
+    assert [i for i, _ in got] == [1, 1, 2, 3, 4] and got[0] == got[1] and all(0 <= s <= 1 for _, s in got)
+
+
 # 7
 
 
@@ -383,6 +449,59 @@ def test_language_id(spark):
     assert language_id.identify(docs.limit(0)).count() == 0
 
 
+def brute_language(rows):
+    """(lang_pred, score) of each row by the definition: words first, then the longest known n-grams."""
+    word_of = lambda t: re.findall("[a-z\x80-\U0010ffff]+", (t or "").translate(LOW))
+    grams = lambda w, n: [x[i : i + n] for x in (f"\x01{w}\x02",) for i in range(len(x) - n + 1)]
+    train = [(t, x) for i, t, x in rows if x is not None and zlib.crc32(str(i).encode()) % 4 != 2]
+    langs = sorted({x for _, x in train})
+    prior = [sum(x == y for _, y in train) / len(train) for x in langs]
+    tables = {n: {} for n in range(6)}
+    for t, x in train:
+        for w in word_of(t):
+            for n in range(6):
+                for g in grams(w, n) if n else [w]:
+                    tables[n].setdefault(g, [0.0] * len(langs))[langs.index(x)] += 1
+    logs = {}
+    for n, table in tables.items():
+        kept = {g: np.array(c) + 0.5 for g, c in table.items() if sum(c) > 1}
+        total = sum(kept.values()) if kept else 1
+        logs[n] = {g: np.log(c / total) for g, c in kept.items()}
+    out = []
+    for _, t, _ in rows:
+        if not any(c.isalpha() for c in t or ""):
+            out.append(("und", 0.0))
+            continue
+        z, ws = np.zeros(len(langs)), word_of(t)
+        for w in ws:
+            if w in logs[0]:
+                z += logs[0][w]
+                continue
+            for n in (5, 4, 3, 2, 1):
+                if known := [logs[n][g] for g in grams(w, n) if g in logs[n]]:
+                    z += np.mean(known, 0)
+                    break
+        z = z / np.sqrt(max(len(ws), 1)) + np.log(prior)
+        p = np.exp(z - z.max())
+        out.append((langs[int(p.argmax())], p.max() / p.sum()))
+    return out
+
+
+def test_language_id_by_brute_force(spark):
+    rng = np.random.default_rng(88)
+    stems = {"aa": ["kato", "milu", "taro"], "bb": ["schu", "grön", "pfer"], "cc": ["que", "leur", "ç'eau", "kato"]}
+    rows = []
+    for i in range(90):
+        lang = ["aa", "bb", "cc"][i % 3]
+        rows.append((i, " ".join("".join(rng.choice(stems[lang], rng.integers(1, 4))) for _ in range(rng.integers(1, 12))), lang if i % 5 else None))
+    rows += [rows[7], rows[7], (200, None, "aa"), (201, "", None), (202, "12 !", "bb"), (203, "zzz 漢 qq", None), (204, "kato Schu " * 150_000, None), (205, "x" * 1_100_000, None), (206, "milu milugrön KATOX", "aa")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = sorted((r.doc_id, r.lang_pred, r.score) for r in language_id.identify(docs).collect())
+    want = sorted((i, *x) for (i, _, _), x in zip(rows, brute_language(rows), strict=True))
+    assert [x[:2] for x in got] == [x[:2] for x in want]
+    assert np.allclose([x[2] for x in got], [x[2] for x in want], atol=1e-3)
+
+
 # 9
 
 
@@ -441,7 +560,7 @@ def test_loser_tree():
         assert [lists[i][j] for i, j in warc.LoserTree(lists)] == sorted(itertools.chain(*lists))
 
 
-def test_warc(spark):
+def test_warc(spark, monkeypatch):
     big, big2 = "<p>" + "ä" * 900, "x" * 1000
     rows = [(i, f"https://www.Example.com/a{i % 5}?q=ü {i % 2}", [big, big2, f"small {i % 3}", None, "y" * 999][i % 5]) for i in range(60)]
     rows += [(None, None, big), (None, "not a url\n", ""), (3, "https://e.org/", big), (57, "https://[bad", big2)]
@@ -462,6 +581,15 @@ def test_warc(spark):
     order = sorted(got, key=lambda r: (r.part, r.pos))
     assert len({r.part for r in got}) > 1
     assert [(r.urlkey, r.timestamp) for r in order] == sorted((r.urlkey, r.timestamp) for r in got)
+    assert [r.place_in_index for r in order] == list(range(len(rows)))
+    monkeypatch.setattr(warc, "SENT", -1)  # the way without a broadcast, and runs of several files
+    runs = warc.write_archives(pages.repartition(3), file_bytes=2000)
+    assert runs.select("file").distinct().count() > 3
+    again = sorted(((r.part, r.pos, r.urlkey, r.timestamp, r.page_id, r.kind) for r in warc.merge_runs(runs, 5).collect()), key=lambda x: x[:2])
+    assert [x[2:4] for x in again] == [(r.urlkey, r.timestamp) for r in order]
+    assert sorted(str(x[4:]) for x in again) == sorted(str((x[0], x[3])) for x in want)
+    monkeypatch.setattr(warc, "MAX_RANGES", 2)
+    assert {r.part for r in warc.merge_runs(runs, 1).collect()} == {0, 1}
     assert warc.archive(pages.limit(0)).count() == 0
 
 

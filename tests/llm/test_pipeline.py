@@ -71,4 +71,4 @@ def test_empty_corpus(spark, tmp_path):
 
 
 def test_all_operators_are_registered():
-    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(m[1]) for q in queries.QUERIES if (m := re.match(r"op(\d+)_", q))) == list(range(1, 11))
