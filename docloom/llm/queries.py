@@ -44,6 +44,12 @@ def op5_decontamination(spark, sf_dir):
     return out.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def proximity_matches(spark, sf_dir):
+    """The index of op5 asked for words that stand near each other."""
+    index = decontamination.build_index(table(spark, sf_dir, "documents"))
+    return decontamination.proximity_hits(index, "license under", 4)
+
+
 def op6_quality(spark, sf_dir):
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
 
@@ -57,7 +63,7 @@ def op8_language_id(spark, sf_dir):
 
 
 def op10_warc(spark, sf_dir):
-    return warc.archive(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return warc.archive(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "timestamp", "place_in_index")
 
 
 def op9_ngram_jaccard(spark, sf_dir):
@@ -66,7 +72,7 @@ def op9_ngram_jaccard(spark, sf_dir):
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_mixing, op2_nearest, op3_grammar_output, op4_chat, op5_decontamination, op6_quality, op7_licenses, op8_language_id, op9_ngram_jaccard, op10_warc)
+    for f in (op1_mixing, op2_nearest, op3_grammar_output, op4_chat, op5_decontamination, proximity_matches, op6_quality, op7_licenses, op8_language_id, op9_ngram_jaccard, op10_warc)
 }
 
 _WORDS = r"regexp_extract_all(" + _LOWER.format("coalesce(text, '')") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -89,10 +95,14 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
   CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars, sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
   CAST(sum(length({_escaped("role")}) + length({_escaped("text")}) + {len("".join(chat.RESERVED))}) AS BIGINT) AS formatted_chars
 FROM t GROUP BY conv_id""",
-    "op10_warc": """
-WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d FROM pages),
+    "op10_warc": r"""
+WITH u AS (SELECT page_id, regexp_replace(regexp_extract(lower(url), '^[a-z]+://([^/?#:]*)', 1), '^www[0-9]*[.]', '') AS host, regexp_extract(lower(url), '^[a-z]+://[^/?#]*([^?#]*)', 1) AS path, regexp_extract(lower(url), '^[^?#]*([?][^#]+)', 1) AS query FROM pages),
+c AS (SELECT page_id, array_to_string(list_reverse(string_split(host, '.')), ',') || ')' || (CASE path WHEN '' THEN '/' ELSE path END) || query AS urlkey,
+  strftime(TIMESTAMP '2020-01-01' + to_seconds(page_id), '%Y%m%d%H%M%S') AS timestamp FROM u),
+o AS (SELECT *, row_number() OVER (ORDER BY urlkey, timestamp, page_id) - 1 AS place_in_index FROM c),
+p AS (SELECT page_id, urlkey, timestamp, place_in_index, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d FROM pages JOIN o USING (page_id)),
 k AS (SELECT d, max(page_id) AS k FROM p WHERE n >= 1000 GROUP BY d)
-SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, p.d AS payload_digest, CASE WHEN n >= 1000 AND page_id <> k THEN 'revisit' ELSE 'response' END AS record_type,
+SELECT page_id, urlkey, timestamp, place_in_index, CAST(n AS BIGINT) AS payload_bytes, p.d AS payload_digest, CASE WHEN n >= 1000 AND page_id <> k THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN n >= 1000 AND page_id <> k THEN k END AS refers_to FROM p LEFT JOIN k USING (d)""",
     "op5_decontamination": rf"""
 WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
@@ -107,6 +117,10 @@ n AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS items
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN n USING (doc_id)""",
+    "proximity_matches": rf"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+e AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS p FROM d WHERE list_contains(w, 'license') AND list_contains(w, 'under'))
+SELECT doc_id, CAST(p - 1 AS BIGINT) AS position FROM e WHERE w[p] = 'license' AND list_contains(w[greatest(p - 4, 1) : p + 4], 'under')""",
     "op9_ngram_jaccard": rf"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') AS w FROM documents),
 s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i : i + 2], ' '))) END AS sh FROM w),

@@ -6,14 +6,16 @@ largest page id is the response and the others are revisits that refer to it;
 smaller ones are all responses.  Each file yields a run: its captures sorted
 by URL key, timestamp and id.
 
-Index: the runs are merged externally.  A regular sample of every run's keys
-gives range bounds; each run is cut at the bounds, and the task of a range
-merges its pieces of all runs by a loser tree.  Key and id together bound the
-ranges, so a hot URL is spread over several.
+Index: the runs are merged externally.  A regular sample of the runs' keys, of
+a size that the number of ranges sets, gives range bounds; each run is cut at
+the bounds, and the task of a range merges its pieces of all runs by a loser
+tree.  Key and id together bound the ranges, so a hot URL is spread over
+several.  There are at most MAX_RANGES ranges, whatever the number of captures.
 
 Null htmls are empty, null or odd URLs are percent-encoded (null: no target
 and an empty key), rows without a page id are responses, repeated rows are
-written each.  A file's name holds its task attempt and only files named in
+written each; in the index, captures of one key, time and id stand in the
+order of their files' names.  A file's name is random and only files named in
 committed run rows are read, so a lost executor leaves at most an unread file.
 """
 
@@ -24,6 +26,7 @@ import bisect
 import datetime
 import hashlib
 import io
+import itertools
 import re
 import uuid
 import zlib
@@ -31,7 +34,7 @@ from urllib.parse import quote, urlsplit
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.llm.common import saved, scratch_path
@@ -39,6 +42,12 @@ from docloom.llm.common import saved, scratch_path
 REVISIT_BYTES = 1000
 FILE_BYTES = 64 << 20
 RANGE_CAPTURES = 4096
+MAX_RANGES = 4096
+SAMPLES_A_RANGE = 16
+#: Digests of repeated payloads are broadcast up to this many (about 60 bytes each).
+SENT = 200_000
+#: Most tasks that read archives back.
+READERS = 20_000
 _EPOCH = datetime.datetime(2020, 1, 1)
 _URN = "urn:docloom:page:"
 
@@ -97,8 +106,12 @@ def write_archives(pages: DataFrame, page_id: str = "page_id", url: str = "url",
     folder = _qualified(spark, scratch_path(spark, "warc"))
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), F.encode(F.coalesce(F.col(html).cast("string"), F.lit("")), "UTF-8").alias("payload"))
     rows = rows.withColumn("digest", F.when(F.octet_length("payload") >= REVISIT_BYTES, F.sha1("payload")))
-    shared = rows.where("digest is not null and page_id is not null").groupBy("digest").agg(F.max("page_id").alias("keeper"), F.count("*").alias("n")).where("n > 1").drop("n")
-    typed = rows.join(shared, "digest", "left").select("page_id", "url", "payload", F.when(F.col("page_id") != F.col("keeper"), F.col("keeper")).alias("refers_to"))
+    # digests and ids alone tell which payloads are repeated; a row without a digest has nothing to be joined with
+    shared = rows.where("digest is not null and page_id is not null").groupBy("digest").agg(F.max("page_id").alias("keeper"), F.count("*").alias("n"))
+    shared = saved(shared.where("n > 1").select(F.col("digest").alias("key"), "keeper"), "repeated")
+    key = F.coalesce("digest", F.concat(F.lit("-"), F.xxhash64("page_id", "url").cast("string")))
+    typed = rows.withColumn("key", key).join(F.broadcast(shared) if shared.count() <= SENT else shared, "key", "left")
+    typed = typed.select("page_id", "url", "payload", F.when(F.col("page_id") != F.col("keeper"), F.col("keeper")).alias("refers_to"))
 
     def write(batches):
         store, base = _open(folder)
@@ -167,14 +180,14 @@ class LoserTree:
 def merge_runs(runs: DataFrame, range_captures: int = RANGE_CAPTURES) -> DataFrame:
     """The captures of all runs in one order, by URL key and timestamp: CAPTURES, ordered by (part, pos)."""
     n = runs.count()
-    ranges = max(1, -(-n // range_captures))
-    every = max(1, range_captures // 16)
+    ranges = min(max(1, -(-n // range_captures)), MAX_RANGES)
+    every = max(1, n // (ranges * SAMPLES_A_RANGE))
 
     def sample(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(range(every // 2, len(batch), every), pa.int64()))], ["key"])
 
-    # each run comes in its own order, so every so many-th key of it is a regular sample: 16 keys a range
+    # each run comes in its own order, so every so many-th key of it is a regular sample; about SAMPLES_A_RANGE * ranges keys in all
     keys = sorted(r[0] for r in runs.select("key").mapInArrow(sample, "key string").collect()) if ranges > 1 else []
     bounds = [keys[len(keys) * i // ranges] for i in range(1, ranges)] if keys else []
 
@@ -198,17 +211,24 @@ def merge_runs(runs: DataFrame, range_captures: int = RANGE_CAPTURES) -> DataFra
         pieces: dict[int, dict[str, list]] = {}
         for batch in batches:
             for row in batch.to_pylist():
-                pieces.setdefault(row["part"], {}).setdefault(row["run"], []).append((row["first"], pa.ipc.open_stream(row["rows"]).read_all().to_pylist()))
+                pieces.setdefault(row["part"], {}).setdefault(row["run"], []).append((row["first"], row["rows"]))
         for part in sorted(pieces):
-            lists = [[r for _, rows in sorted(x, key=lambda p: p[0]) for r in rows] for _, x in sorted(pieces.pop(part).items())]
-            got = [lists[i][k] for i, k in LoserTree([[r["key"] for r in x] for x in lists])]
-            for a in range(0, len(got), 5000):
-                out = got[a : a + 5000]
-                split = [r["key"].split(" ") for r in out]
+            # pieces stay packed as Arrow tables; the tree is given their keys, and its winners are taken a few thousand at a time
+            opened = [pa.concat_tables(pa.ipc.open_stream(rows).read_all() for _, rows in sorted(x, key=lambda p: p[0])) for _, x in sorted(pieces.pop(part).items())]
+            base = [0, *itertools.accumulate(map(len, opened))]
+            whole, winners = pa.concat_tables(opened), iter(LoserTree([x.column("key").to_pylist() for x in opened]))
+            pos = 0
+            while chosen := [base[i] + k for i, k in itertools.islice(winners, 5000)]:
+                out = whole.take(pa.array(chosen, pa.int64())).combine_chunks().to_batches()[0]
+                split = [x.split(" ") for x in out.column("key").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([part] * len(out), pa.int32()), pa.array(range(a, a + len(out)), pa.int64()), pa.array([x[0] for x in split]), pa.array([x[1] for x in split]), pa.array([r["page_id"] for r in out], pa.int64()), pa.array([r["kind"] for r in out]), pa.array([r["file"] for r in out]), pa.array([r["place"] for r in out], pa.int64()), pa.array([r["length"] for r in out], pa.int64())],
+                    [
+                        pa.array([part] * len(out), pa.int32()), pa.array(range(pos, pos + len(out)), pa.int64()), pa.array([x[0] for x in split]), pa.array([x[1] for x in split]),
+                        *(out.column(c) for c in ("page_id", "kind", "file", "place", "length")),
+                    ],
                     [x.split()[0] for x in CAPTURES.split(", ")],
-                )
+                )
+                pos += len(out)
 
     pieces = runs.mapInArrow(cut, "part int, run string, first string, rows binary")
     return pieces.repartitionById(ranges, F.col("part")).mapInArrow(merge, CAPTURES)
@@ -238,6 +258,7 @@ def _records(source):
 def read_archives(runs: DataFrame) -> DataFrame:
     """Every record of the archives that the runs name, parsed and checked: file, place, page_id, payload_bytes, payload_digest, record_type, refers_to."""
     files = runs.select("file").distinct()
+    tasks = min(max(1, files.count()), READERS)  # a task reads whole files; the list of them is too short for Spark to deal it out by itself
     number = lambda x: int(x) if (x := x.strip("<>").removeprefix(_URN)) else None
 
     def read(batches):
@@ -262,12 +283,17 @@ def read_archives(runs: DataFrame) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
-    return files.mapInArrow(read, "file string, place long, page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
+    return files.repartition(tasks).mapInArrow(read, "file string, place long, page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
 def archive(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", range_captures: int = RANGE_CAPTURES) -> DataFrame:
-    """Writes, indexes and reads back: each capture of the merged index with what its record says."""
+    """Writes, indexes and reads back: each capture of the merged index with what its record says, its URL key, its time, its place in the index (part, pos) and the number of captures before it."""
     runs = write_archives(pages, page_id, url, html)
     found = read_archives(runs)
+    index = saved(merge_runs(runs, range_captures).drop("page_id", "kind", "length"), "captures")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # over one row a range
+    parts = index.groupBy("part").agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier"))
+    placed = index.join(F.broadcast(parts), "part").withColumn("place_in_index", F.col("earlier") + F.col("pos"))
     # both sides hold a row per record; Spark would take the records for as small as the list of files they come from
-    return merge_runs(runs, range_captures).drop("page_id", "kind", "length").join(found.hint("merge"), ["file", "place"]).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "timestamp", "part", "pos")
+    out = placed.join(found.hint("merge"), ["file", "place"])
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "timestamp", "place_in_index", "part", "pos")
