@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import tempfile
 import uuid
 
@@ -85,5 +84,11 @@ def crc_mod(column: Column, n: int) -> Column:
     return F.crc32(column.cast("string").cast("binary")) % n
 
 
-def prefixed(sql: str) -> str:
-    return re.sub(r"\s+", " ", sql).strip()
+def share_below(rows: int, n: int) -> int:
+    """The bound below which 62-bit hashes of n rows must lie for about rows of them to be taken."""
+    return (1 << 62) if n <= rows else (rows << 62) // n
+
+
+def sampled(df: DataFrame, rows: int, *columns: str, seed: int) -> DataFrame:
+    """About rows of df's rows, told by a hash of the columns; all of them if there are no more."""
+    return df.where(F.pmod(F.xxhash64(*columns, F.lit(seed)), F.lit(1 << 62)) < share_below(rows, df.count()))

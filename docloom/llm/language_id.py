@@ -6,11 +6,13 @@ length with a known n-gram decides, by the mean log frequency of those known.
 A text's score is the sum over its words.
 
 Words are runs of letters (ASCII letters, lower-cased, and all non-ASCII
-signs).  The model is fitted on at most TRAIN_ROWS labelled rows, taken by a
-hash of the id, and holds at most MODEL_CELLS numbers.  Null texts and texts
-without a letter are ``und`` with score 0; so is everything if there is no
-labelled row.  A text of letters that no word and no n-gram of the model knows
-gets the commonest language.
+signs).  The model is fitted on about TRAIN_ROWS labelled rows at most, taken
+by a hash of the id and text, and holds at most MODEL_CELLS numbers.  Null
+texts and texts without a letter are ``und`` with score 0; so is everything if
+there is no labelled row.  A text of letters that no word and no n-gram of the
+model knows gets the commonest language.  Equal scores go to the first
+language by name.  Repeated rows are learned from and reported one by one; a
+text of any length is one row, whose words are all counted.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.llm.bytekernel import U, HashIndex, gather, slices, span_hashes, text_bytes, word_spans
-from docloom.llm.common import crc_mod, saved
+from docloom.llm.common import crc_mod, sampled, saved
 
 TRAIN_ROWS = 20_000
 MODEL_CELLS = 4_000_000
@@ -161,11 +163,9 @@ class Model:
 
 
 def fit(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", rows: int = TRAIN_ROWS) -> Model:
-    """A model from at most about rows labelled rows outside held_out; which ones depends on a hash of their ids alone."""
+    """A model from at most about rows labelled rows outside held_out; which ones depends on a hash of their ids and texts alone."""
     labelled = docs.where(~held_out & F.col(lang).isNotNull()).select(F.col(doc_id).alias("i"), F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
-    n = labelled.count()
-    share = min(1.0, rows / max(n, 1))
-    return Model.fit(labelled.where(F.pmod(F.xxhash64("i", F.lit(8)), F.lit(1 << 20)) < int(share * (1 << 20))).select("lang", "text"))
+    return Model.fit(sampled(labelled, rows, "i", "text", seed=8).select("lang", "text"))
 
 
 def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
