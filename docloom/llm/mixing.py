@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 from docloom.llm.common import saved
 
 BUCKET_ROWS = 4096
+#: Leaves up to which their table is broadcast (about 100 bytes each).
+SENT = 100_000
 LEAF = ["domain", "lang", "source"]
 
 
@@ -89,6 +91,11 @@ def budgets(rows: DataFrame, mixture: Mixture) -> DataFrame:
     return out.select(*LEAF, "docs", "tokens", "budget")
 
 
+def _sent(table: DataFrame) -> DataFrame:
+    """A written table of a row per leaf, broadcast where it is small: rows of a hot leaf then stay where they are."""
+    return F.broadcast(table) if table.count() <= SENT else table
+
+
 def _key(seed: int) -> Column:
     """The place of a row in its leaf's cut epoch."""
     return F.md5(F.concat_ws(":", F.lit(seed), F.col("epochs"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
@@ -99,13 +106,13 @@ def plan(rows: DataFrame, mixture: Mixture) -> DataFrame:
     leaves = budgets(rows, mixture).withColumn("epochs", F.expr("case when tokens > 0 then budget div tokens else 0 end")).withColumn("rest", F.col("budget") - F.col("epochs") * F.col("tokens"))
     leaves = saved(leaves, "budgets")
     open_ = leaves.where("rest > 0").select(*LEAF, "epochs", "rest", F.greatest(F.lit(1), F.expr(f"docs div {BUCKET_ROWS}")).alias("buckets"))
-    placed = rows.join(open_, LEAF).withColumn("key", _key(mixture.seed))
+    placed = rows.join(_sent(open_), LEAF).withColumn("key", _key(mixture.seed))
     placed = placed.withColumn("bucket", F.expr("cast(conv(substring(key, 1, 8), 16, 10) as bigint) * buckets div 4294967296"))
     by = placed.groupBy(*LEAF, "bucket", "rest").agg(F.sum("n_tokens").alias("t"))
     order = Window.partitionBy(*LEAF).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     edge = by.withColumn("base", F.coalesce(F.sum("t").over(order), F.lit(0))).where("base < rest and rest <= base + t").select(*LEAF, "bucket", "base")
     edge = saved(edge, "edge")  # a row per leaf: where these are few, no row of the corpus moves for it
-    units = placed.join(edge, [*LEAF, "bucket"]).groupBy(*LEAF, "key", "rest", "base").agg(F.sum("n_tokens").alias("t"))
+    units = placed.join(_sent(edge), [*LEAF, "bucket"]).groupBy(*LEAF, "key", "rest", "base").agg(F.sum("n_tokens").alias("t"))
     order = Window.partitionBy(*LEAF).orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
     cut = units.withColumn("cut_start", F.col("base") + F.coalesce(F.sum("t").over(order), F.lit(0))).where("cut_start < rest and rest <= cut_start + t")
     return saved(leaves.join(cut.select(*LEAF, F.col("key").alias("last"), "cut_start"), LEAF, "left"), "plan")
@@ -113,7 +120,7 @@ def plan(rows: DataFrame, mixture: Mixture) -> DataFrame:
 
 def counted(rows: DataFrame, plan: DataFrame, mixture: Mixture) -> DataFrame:
     """rows (doc_id and leaf columns) with budget, epochs and copies: how many times a document is taken."""
-    out = rows.join(plan.select(*LEAF, "budget", "epochs", "rest", "last", "cut_start"), LEAF).withColumn("key", _key(mixture.seed))
+    out = rows.join(_sent(plan.select(*LEAF, "budget", "epochs", "rest", "last", "cut_start")), LEAF).withColumn("key", _key(mixture.seed))
     return out.withColumn("copies", F.col("epochs") + F.when((F.col("rest") > 0) & (F.col("key") <= F.col("last")), 1).otherwise(0))
 
 
