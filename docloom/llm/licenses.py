@@ -7,8 +7,8 @@ holds the template, the block is two strides.  A block meets a template when it
 words (num / den, in whole numbers).
 
 Template words are ordered globally by how many documents of the corpus hold
-them, rarest first.  A text whose words hold too little of every template is
-left at once.  A block can only meet a template if it holds one of the
+them, rarest first.  A text with fewer template words than the least template
+needs is left at once (length filter).  A block can only meet a template if it holds one of the
 template's first ``n - need + 1`` words (prefix filter), has at least ``need``
 template words at all (length filter) and, at the common prefix word, both
 sides have enough words left (positional filter).  Survivors are verified by
@@ -149,12 +149,10 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", phrases: d
         return F.when((F.size("w") >= len(p)) & F.array_contains("w", p[0]) & F.array_contains("w", p[-1]), all_).otherwise(none)
 
     hits = F.concat(*[places(p, label) for p, label in phrases.items()])
-    # one scan: a text's words are cut once, and kept only where the whole text holds enough of some template
+    # one scan: a text's words are cut once, and kept only where the whole text holds as many template words as some template needs
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text).cast("string")).alias("h"), words(F.col(text)).alias("w"))
     rows = rows.select("doc_id", "h", "w", F.array_intersect("w", _strings(vocabulary)).alias("held"))
-    able = F.lit(False)
-    for _, s in sets:
-        able = able | (F.size(F.array_intersect("held", _strings(s))) >= _need(s, NUM, DEN))
+    able = F.size("held") >= min((_need(s, NUM, DEN) for _, s in sets), default=1)
     rows = rows.select("doc_id", "h", F.size("w").cast("long").alias("n_words"), hits.alias("hits"), "held", F.when(able, F.col("w")).alias("w"))
     rows = saved(rows, "words")
     order = rank_words(rows, sets)
