@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 _own: dict[str, str] = {}
 _scratch: list[str] = []
+_collector: ContextVar[list[str] | None] = ContextVar("collector", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that spark.checkpoint.dir names; a fresh local one only where it is unset (tests)."""
+    """The folder that spark.checkpoint.dir names; a fresh local one only where it is unset and all runs in one process (tests)."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         key = spark.sparkContext.applicationId
         base = _own.setdefault(key, "") or _own.__setitem__(key, tempfile.mkdtemp(prefix="docloom-")) or _own[key]
     return base.rstrip("/")
@@ -24,11 +30,20 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     path = f"{shared_dir(spark)}/docloom/{name}-{uuid.uuid4().hex}"
     _scratch.append(path)
+    if (made := _collector.get()) is not None:
+        made.append(path)
     return path
 
 
-def scratch_paths() -> list[str]:
-    return list(_scratch)
+@contextmanager
+def collected():
+    """The list of the scratch tables that this thread makes inside the with block."""
+    made: list[str] = []
+    token = _collector.set(made)
+    try:
+        yield made
+    finally:
+        _collector.reset(token)
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:

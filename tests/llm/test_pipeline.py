@@ -4,6 +4,9 @@ import itertools
 import re
 
 import corpus_pipeline
+from pyspark.sql import Row
+from test_operators import brute_mix
+
 from docloom.llm import queries
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -20,7 +23,7 @@ def test_stages(spark, tmp_path):
     test_item = "this benchmark passage has more than ten words in it for sure"
     rows = [(i, t, "en", f"src{i % 3}", None) for i, t in enumerate(body)]
     rows += [(20, near, "en", "src0", None), (21, body[1], "en", "src1", None), (21, body[1], "en", "src1", None), (22, f"{body[2][:80]} {test_item} tail", "en", "src2", None), (23, None, None, None, None), (24, "12 34", None, "src1", None), (25, "", "en", "src1", None), (26, "short text", "en", None, None)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").selectExpr("*", "1 as score", "'x' as cls", "2 as `copies`")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").selectExpr("*", "1 as score", "'x' as cls", "2 as `copies`", "7 as gone_id", "8 as bad_key", "9 as twice", "'r' as `row`", "1 as id", "'b' as body", "0 as `key`", "0 as gone", "0 as bad", "'z' as lang_pred")
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(1, test_item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     seen = {}
@@ -41,7 +44,11 @@ def test_stages(spark, tmp_path):
     assert ids(2) == [i for i in ids(1) if i != 22]
     assert set(ids(3)) <= set(ids(2)) and max(ids(3).count(i) for i in ids(3)) <= 2
     n = lambda rows: sum(len((r["text"] or "").split()) for r in rows)
-    assert abs(n(seen[3]) - n(seen[2])) <= 0.35 * n(seen[2])
+    number = lambda r: int(m[1]) if (m := re.match(r"^src([0-9]{1,6})$", r["source"] or "")) else 99
+    domain = lambda r: "web" if number(r) <= 4 else "books" if number(r) <= 14 else "forum"
+    taken = brute_mix([Row(**{c: r[c] for c in ("doc_id", "text", "lang", "source")}) for r in seen[2]], queries.mixture(1, 1), domain)
+    assert {i: ids(3).count(i) for i in ids(2)} == {i: x[0][1] for i, x in taken.items()}
+    assert n(seen[3]) <= 2 * n(seen[2])
     assert sorted(r["doc_id"] for r in seen[4]) == ids(3)
     total = 0
     for r in sorted(seen[4], key=lambda r: r["start"]):
