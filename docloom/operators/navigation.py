@@ -6,7 +6,7 @@ merges are joins on that path.  ``ord`` is the order of discovery.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.functions import rules
@@ -117,8 +117,26 @@ def tree_rows(nav: DataFrame) -> DataFrame:
 
 
 def flatten_tree(tree: DataFrame) -> DataFrame:
-    """Tree rows with a URL, as navigation rows in depth-first order by (order, slug) at each level."""
-    return tree.where("url is not null").select("url", "title", F.element_at("path", -1).alias("slug"), F.get("path", F.lit(0)).alias("domain"), "depth", "order", F.when(F.size("path") > 1, F.element_at("path", -2)).alias("parentSlug"), F.col("path").alias("navPath"))
+    """Tree rows with a URL, as navigation rows; ord is their place in depth-first order, by (order, slug) among siblings.
+
+    A node's key is the (order, slug) of every node on its path; the window
+    over all domains holds one row a domain.
+    """
+    step = tree.select("path", F.explode(F.sequence(F.lit(1), F.size("path"))).alias("k"))
+    above = tree.select(F.col("path").alias("prefix"), F.col("order").alias("at"))
+    step = step.withColumn("prefix", F.expr("slice(path, 1, k)")).join(above, "prefix", "left")
+    key = F.transform(F.array_sort(F.collect_list(F.struct("k", "at", F.element_at("prefix", -1).alias("slug")))), lambda x: F.struct(x["at"].alias("at"), x["slug"].alias("slug")))
+    keys = step.groupBy(F.col("path").alias("key_path")).agg(key.alias("key"))
+    rows = tree.where("url is not null").join(keys, F.col("path") == F.col("key_path"))
+    first = F.get("key", F.lit(0))
+    domains = rows.select(F.get("path", F.lit(0)).alias("key_domain"), first.alias("root")).distinct()
+    domains = domains.withColumn("rank", F.row_number().over(Window.orderBy("root")))
+    rows = rows.join(domains.drop("root"), F.get("path", F.lit(0)) == F.col("key_domain"))
+    inside = F.row_number().over(Window.partitionBy("key_domain").orderBy("key"))
+    return rows.select(
+        "url", "title", F.element_at("path", -1).alias("slug"), F.get("path", F.lit(0)).alias("domain"), "depth", "order",
+        F.when(F.size("path") > 1, F.element_at("path", -2)).alias("parentSlug"), F.col("path").alias("navPath"), (F.shiftleft(F.col("rank").cast("long"), 32) + inside).alias("ord"),
+    )
 
 
 def folders(tree: DataFrame) -> DataFrame:
@@ -135,8 +153,6 @@ def under_domain(nav: DataFrame, domain: str) -> DataFrame:
 
 def sort_by_nav(docs: DataFrame, nav: DataFrame) -> DataFrame:
     """Documents with nav_rank (999 where the domain has no root), sorted by it and then by title as people read."""
-    from pyspark.sql import Window
-
     ranks = domain_order(nav).withColumn("nav_rank", F.row_number().over(Window.orderBy("first")) - 1).select("domain", "nav_rank")  # one row a domain
     return docs.join(ranks, "domain", "left").withColumn("nav_rank", F.coalesce("nav_rank", F.lit(999))).orderBy("nav_rank", F.expr("collate(title, 'UNICODE')"))
 

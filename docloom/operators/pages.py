@@ -247,7 +247,7 @@ def _path(root: H.Node, text: str) -> str | None:
         except ValueError:
             parts = None
         if parts is not None and parts.scheme and parts.netloc:
-            return parts.path or "/"
+            return quote(parts.path, safe="!$%&'()*+,-./:;=@[]^_|~") or "/"
         if m := _PATH.search(named):
             return m[1]
     for s in PATH_PLACES:

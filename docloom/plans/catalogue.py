@@ -23,7 +23,7 @@ def register(name: str, sql: str | None = None):
 
 
 def _load() -> None:
-    from docloom.plans import queries as _  # noqa: F401  fills the registry
+    from docloom.plans import cases, queries  # noqa: F401  fill the registry
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -60,6 +61,46 @@ def relocation_plan(docs: DataFrame, nav: DataFrame, base_url: Column, order: st
     return out.select("id", "old_path", "new_path", F.when(F.col(order) != F.col("winner"), "skip").when(F.col("old_path") == F.col("new_path"), "unchanged").otherwise("move").alias("action"))
 
 
+def relocation_counts(plan: DataFrame) -> DataFrame:
+    """moved, unchanged and skipped of a relocation plan: one row."""
+    return plan.agg(F.count_if(F.col("action") == "move").alias("moved"), F.count_if(F.col("action") == "unchanged").alias("unchanged"), F.count_if(F.col("action") == "skip").alias("skipped"))
+
+
+def reorganize(stored: DataFrame, nav: DataFrame, base_url: Column, folder: str, dry_run: bool = False) -> dict[str, int]:
+    """Moves stored documents (readers.load_documents over folder/json) to the paths that navigation gives them.
+
+    Of documents with one target the first by its old path stands, the others
+    stay where they are and count as skipped, as do invalid ones.  Documents
+    that move are written, JSON and markdown, before any old file goes; then
+    empty folders go and the index is written anew.  A dry run only counts.
+    """
+    valid = stored.where("problem is null").withColumn("old_path", F.concat(F.lit("json/"), "rel_path"))
+    plan = relocation_plan(valid, nav, base_url, "old_path")
+    if not dry_run:  # written, as the files it is made from go later
+        at = f"{folder.rstrip('/')}/_plan-{uuid.uuid4().hex}"
+        plan.write.parquet(at)
+        plan = stored.sparkSession.read.parquet(at)
+    counts = relocation_counts(plan).first().asDict()
+    counts["skipped"] += stored.where("problem is not null").count()
+    if not dry_run:
+        placed = navigation.storage_location(valid, nav, base_url).withColumn("domain", F.col("loc_domain")).withColumn("subcategory", F.col("loc_subcategory"))
+        placed = placed.withColumn("storageSegments", F.col("loc_segments")).withColumn("breadcrumbs", F.when(F.size("loc_breadcrumbs") > 0, F.col("loc_breadcrumbs")).otherwise(F.col("breadcrumbs")))
+        moved = placed.join(plan.where("action = 'move'").select("old_path", "new_path"), "old_path")
+        writers.write_files(writers.document_files(moved, F.col("new_path")).unionByName(writers.markdown_export(moved, base_url)), folder)
+        writers.write_files(index_files(writers.document_index(placed, base_url)), folder)
+        old = plan.where("action = 'move'").join(plan.where("action <> 'skip'").select(F.col("new_path").alias("old_path")), "old_path", "left_anti")
+        sibling = F.concat(F.lit("markdown/"), F.regexp_replace(F.regexp_replace("old_path", "^json/", ""), r"\.json$", ".md"))
+        writers.remove_files(old.select(F.explode(F.array("old_path", sibling)).alias("path")), folder)
+        writers.clean(stored.sparkSession, [at])
+    return counts
+
+
+def index_files(index: DataFrame) -> DataFrame:
+    """The index of documents as files by domain: one JSON line a document, in the order of their paths."""
+    lines = index.groupBy("domain").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("path", F.to_json(F.struct(*index.columns)).alias("row")))), lambda x: x["row"]), "\n").alias("value"))
+    return lines.select(F.concat(F.lit("index/"), S.safe_slug(F.col("domain"), 80), F.lit(".jsonl")).alias("path"), "value")
+
+
 def audit(docs: DataFrame) -> DataFrame:
     """Counts of an audit over documents (domain, url, title, content, extractionQuality, endpoint)."""
     rows = docs.select("domain", S.is_url(F.col("url")).alias("valid"), F.col("extractionQuality").alias("quality"), corpus.audit_issues(F.col("title"), F.col("content"), F.col("endpoint.bodyParams")).alias("issues"))
@@ -72,7 +113,9 @@ def export(docs: DataFrame, target: str = "generic", most: int = 512) -> DataFra
     return made[target](chunks.chunk_documents(docs, most))
 
 
-def post_crawl(raw: DataFrame, nav: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(rebuilt documents of distinct content, audit counts)."""
+def post_crawl(raw: DataFrame, nav: DataFrame | None = None, folder: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rebuilt documents of distinct content, audit counts); with a folder, the documents are also stored at their paths there."""
     docs = corpus.dedupe_content(rebuild(raw, nav), "ord")
+    if folder is not None:
+        writers.store(docs, S.url_origin(F.col("url")), folder)
     return docs, audit(docs)

@@ -576,10 +576,35 @@ def stored_documents(spark, d):
     return _t(spark, d, "documents").select("doc_id", rules.stored_id(F.when(m == 0, i), name, F.when(m != 3, S.content_hash(F.col("text")))).alias("id"))
 
 
-@register("relocation_plan")
+def _stored_pages(spark, d) -> DataFrame:
+    """Stored documents: every third at the path its URL alone gives, every tenth stored twice."""
+    none, no_path = F.lit(None).cast("string"), F.expr("cast(array() as array<string>)")
+    p = _page_docs(spark, d).withColumn("endpoint", F.lit(None).cast("struct<method:string,path:string>"))
+    p = p.unionByName(p.where("ord % 10 = 0").withColumn("ord", F.col("ord") + 1_000_000_000))
+    name = S.document_filename(F.col("url"), F.col("title"), _own(), none, none, F.col("id"))
+    at = S.json_path(F.col("domain"), F.regexp_replace(name, r"\.md\z", ".json"), no_path)
+    return p.withColumn("old_path", F.when(F.col("ord") % 3 == 0, at).otherwise(F.concat(F.lit("json/"), "domain", F.lit("/"), "id", F.lit(".json"))))
+
+
+_RELOCATED = f"""(WITH q AS {_PAGES}, p AS (SELECT * FROM q UNION ALL SELECT * REPLACE (ord + 1000000000 AS ord) FROM q WHERE ord % 10 = 0),
+n AS (SELECT norm_url, arg_max(domain, ord) AS nd FROM {_SEEDED} GROUP BY 1),
+s AS (SELECT p.*, nd, {D.url_slug("url")} AS us, {D.safe_slug("title", 40)} AS ts FROM p LEFT JOIN n ON {D.norm_url("url")} = n.norm_url),
+f AS (SELECT *, coalesce(CASE WHEN us NOT IN ('', 'index', 'page', 'inicio') THEN us END, CASE WHEN ts NOT IN ('', 'untitled', 'page', '200') THEN ts END, id) || '-' || id AS base FROM s),
+g AS (SELECT *, CASE WHEN length(base) <= 100 THEN base ELSE id || '-' || id END AS name FROM f),
+h AS (SELECT *, {D.safe_slug("name", 120)} || '.json' AS file FROM g),
+k AS (SELECT id, ord, CASE WHEN ord % 3 = 0 THEN 'json/' || {D.safe_slug("domain", 80)} || '/' || file ELSE 'json/' || domain || '/' || id || '.json' END AS old_path,
+  'json/' || {D.safe_slug("coalesce(nd, domain)", 80)} || (CASE WHEN nd IS NULL THEN '' ELSE '/section' END) || '/' || file AS new_path FROM h)
+SELECT id, old_path, new_path, CASE WHEN ord > min(ord) OVER (PARTITION BY new_path) THEN 'skip' WHEN old_path = new_path THEN 'unchanged' ELSE 'move' END AS action FROM k)"""
+
+
+@register("relocation_plan", f"SELECT * FROM {_RELOCATED}")
 def relocation_plan(spark, d):
-    docs = _page_docs(spark, d).withColumn("endpoint", F.lit(None).cast("struct<method:string,path:string>")).withColumn("old_path", F.concat(F.lit("json/"), "domain", F.lit("/"), "id", F.lit(".json")))
-    return pipeline.relocation_plan(docs, _seeded_nav(spark, d), _own(), "ord")
+    return pipeline.relocation_plan(_stored_pages(spark, d), _seeded_nav(spark, d), _own(), "ord")
+
+
+@register("relocation_counts", f"SELECT count(*) FILTER (action = 'move') AS moved, count(*) FILTER (action = 'unchanged') AS unchanged, count(*) FILTER (action = 'skip') AS skipped FROM {_RELOCATED}")
+def relocation_counts(spark, d):
+    return pipeline.relocation_counts(relocation_plan(spark, d))
 
 
 _HTML = (
@@ -590,12 +615,6 @@ _HTML = (
 )
 
 
-@register("html_extract")
-def html_extract(spark, d):
-    parsed = pages.parse_pages(spark.createDataFrame([(1, "https://h/users", _HTML)], "page_id long, url string, html string"))
-    return parsed.select(F.explode(F.array(*[F.struct(F.lit(c).alias("part"), F.to_json(F.struct(c)).alias("value")) for c in ("title", "markdown", "headings", "tables", "code", "schema_blocks", "endpoint", "links", "nav")])).alias("x")).select("x.part", "x.value")
-
-
 @register("seen_keys", f"SELECT DISTINCT \"contentHash\" AS content_hash, {D.norm_url('url')} AS url FROM {_PAGES}")
 def seen_keys(spark, d):
     return readers.seen_keys(_page_docs(spark, d)).select(F.col("contentHash").alias("content_hash"), "url")

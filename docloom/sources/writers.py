@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -77,6 +81,90 @@ def write_chunks(chunks: DataFrame, folder: str) -> None:
     chunks.withColumn("__domain", F.col("domain")).write.mode("overwrite").partitionBy("__domain").json(folder)
 
 
+#: Fields of a stored document, in the order they are written.
+STORED = (
+    "id", "title", "domain", "subcategory", "storageSegments", "type", "url", "content", "markdown", "description", "headings", "tables", "examples", "codeBlocks",
+    "endpoint", "tags", "breadcrumbs", "contentHash", "extractedAt", "framework", "version", "authRequired", "extractionQuality", "extractionSignals",
+)
+
+
+def document_files(docs: DataFrame, path: Column) -> DataFrame:
+    """path and value: a document's JSON, its fields in the order of STORED, those it lacks left out."""
+    return docs.select(path.alias("path"), F.to_json(F.struct(*[F.col(c) for c in STORED if c in docs.columns]), {"pretty": "true"}).alias("value"))
+
+
+def write_files(rows: DataFrame, folder: str) -> int:
+    """One file per row (path, value) below folder, written where the rows are; returns how many.
+
+    A file is written under a name of its own and then renamed, so a task that
+    is run again leaves whole files.  Paths that leave the folder are refused.
+    """
+
+    def write(batches):
+        store, base = fs.FileSystem.from_uri(uri)
+        for batch in batches:
+            for path, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if not path or path.startswith("/") or ".." in path.split("/"):
+                    raise ValueError(f"no path below the folder: {path!r}")
+                at = f"{base}/{path}"
+                store.create_dir(at.rpartition("/")[0], recursive=True)
+                part = f"{at}.{uuid.uuid4().hex}"
+                with store.open_output_stream(part, compression=None) as f:
+                    f.write((value or "").encode())
+                store.move(part, at)
+            yield pa.RecordBatch.from_arrays([pa.array([len(batch)], pa.int64())], ["n"])
+
+    uri = _uri(folder)
+    return rows.select("path", "value").mapInArrow(write, "n long").agg(F.sum("n")).first()[0] or 0
+
+
+def remove_files(rows: DataFrame, folder: str) -> None:
+    """Deletes the files named in path below folder, and the folders that are empty then."""
+
+    def remove(batches):
+        store, base = fs.FileSystem.from_uri(uri)
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                if store.get_file_info(f"{base}/{path}").type == fs.FileType.File:
+                    store.delete_file(f"{base}/{path}")
+            yield batch
+
+    def prune(batches):
+        store, base = fs.FileSystem.from_uri(uri)
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                while path:
+                    try:
+                        if store.get_file_info(fs.FileSelector(f"{base}/{path}")):
+                            break
+                        store.delete_dir(f"{base}/{path}")
+                    except FileNotFoundError:
+                        pass  # another task was here
+                    path = path.rpartition("/")[0]
+            yield batch
+
+    uri = _uri(folder)
+    rows.select("path").mapInArrow(remove, "path string").write.format("noop").mode("overwrite").save()
+    folders = rows.select(F.regexp_replace("path", r"/[^/]*$", "").alias("path")).distinct()
+    folders.mapInArrow(prune, "path string").write.format("noop").mode("overwrite").save()
+
+
+def _uri(folder: str) -> str:
+    return folder if "://" in folder else "file://" + folder.removeprefix("file:")
+
+
+def store(docs: DataFrame, base_url: Column, folder: str) -> int:
+    """A JSON and a markdown file per document at its path; returns how many files."""
+    name = S.document_filename(F.col("url"), F.col("title"), base_url, F.col("endpoint.path"), F.col("endpoint.method"), F.col("id"))
+    path = S.json_path(F.col("domain"), F.regexp_replace(name, r"\.md\z", ".json"), F.coalesce("storageSegments", F.expr("cast(array() as array<string>)")))
+    return write_files(document_files(docs, path).unionByName(markdown_export(docs, base_url)), folder)
+
+
+def chunk_files(chunks: DataFrame) -> DataFrame:
+    """path and value: a JSON file per chunk."""
+    return chunks.select(S.chunk_path(F.col("domain"), F.col("id")).alias("path"), F.to_json(F.struct(*chunks.columns)).alias("value"))
+
+
 def write_lines(rows: DataFrame, folder: str) -> None:
     """The column value as text lines."""
     rows.select("value").write.mode("overwrite").text(folder)

@@ -192,3 +192,26 @@ def test_settings():
     with pytest.raises(ValueError):
         pipeline.Settings(concurrency=99)
     assert pipeline.Settings().chunk_max_tokens == 512
+
+
+def test_store_reorganize_and_load_again(spark, tmp_path):
+    raw = spark.createDataFrame([(1, "https://h/bank/a", "<h1>Alpha page</h1><p>one</p>"), (2, "https://h/bank/b", "<h1>Beta page</h1><p>two</p>"), (3, "https://h/start/c", "<h1>Gamma page</h1>")], "page_id long, url string, html string")
+    folder = str(tmp_path / "store")
+    assert writers.store(pipeline.rebuild(raw), S.url_origin(F.col("url")), folder) == 6
+    (tmp_path / "store/json/bank/broken.json").write_text("{")
+    load = lambda: readers.load_documents(spark, f"{folder}/json", f"{folder}/markdown")
+    first = {r.url: r for r in load().where("problem is null").collect()}
+    assert sorted(first) == ["https://h/bank/a", "https://h/bank/b", "https://h/start/c"] and "one" in first["https://h/bank/a"].markdown
+    nav = spark.createDataFrame([("https://h/bank/b", "Beta", "b", "cards", 2, 0, "sec", ["cards", "sec", "b"], ["Cards", "Sec", "Beta"], 1), ("https://h/start/c", "Gamma", "c", "late", 1, 0, None, ["late", "c"], ["Late", "Gamma"], 2)], schemas.NAV)
+    before = sorted(str(p.relative_to(folder)) for p in (tmp_path / "store").rglob("*") if p.is_file())
+    want = {"moved": 2, "unchanged": 1, "skipped": 1}
+    assert pipeline.reorganize(load(), nav, S.url_origin(F.col("url")), folder, dry_run=True) == want
+    assert sorted(str(p.relative_to(folder)) for p in (tmp_path / "store").rglob("*") if p.is_file()) == before
+    assert pipeline.reorganize(load(), nav, S.url_origin(F.col("url")), folder) == want
+    after = {r.url: r for r in load().where("problem is null").collect()}
+    assert {u: r.rel_path.rpartition("/")[0] for u, r in after.items()} == {"https://h/bank/a": "bank", "https://h/bank/b": "cards/sec", "https://h/start/c": "late"}
+    assert after["https://h/bank/b"].breadcrumbs == ["Cards", "Sec", "Beta"] and after["https://h/bank/b"].markdown.endswith(first["https://h/bank/b"].markdown[-8:])
+    assert not (tmp_path / "store/json/start").exists() and not (tmp_path / "store/markdown/start").exists()
+    assert sorted(p.name for p in (tmp_path / "store/index").iterdir()) == ["bank.jsonl", "cards.jsonl", "late.jsonl"]
+    again = pipeline.reorganize(load(), nav, S.url_origin(F.col("url")), folder)
+    assert again == {"moved": 0, "unchanged": 3, "skipped": 1}
