@@ -10,27 +10,44 @@ product f of its direction with the code's.  For a query q the code estimates
 but for rare cases.  A vector is reranked, by the double-precision inner
 product of the original vectors, only if its estimate plus that bound reaches
 the k-th best score known.  Every valid row is indexed and scanned: there are
-no buckets to miss and no caps.
+no buckets to miss and no caps.  The signs of some thousand codes at a time are
+unpacked and multiplied at once, in single precision.
+
+Queries are packed into blocks and the index's files dealt into groups.  A cell
+of this grid is one row, with a block's vectors and a group's file names; its
+task streams the files, carries the block's best scores through them, and
+gives at most k rows a query.  There are as many groups as keep some cells for
+every core, one where the blocks alone do.  Nothing but counts and file names
+comes to the driver.
 
 Vectors that are null, zero, of a length other than the commonest, or that
 hold null or non-finite components take no part; nor do rows without an id.
-Rows with the query's own id are not its candidates.
+Rows with the query's own id are not its candidates.  Of the rows of one query
+id the smallest vector asks; as candidates, repeated rows are found each.
 """
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.llm.common import saved
 
 EPSILON = 3.0
-#: Queries that travel with one pass over the index.
-QUERY_BLOCK = 4096
+#: Queries of a block.
+QUERY_BLOCK = 2048
+#: Cells of the grid for each core.
+CELLS = 4
 _STEP = 2048
 
+INDEX_SCHEMA = "id long, code binary, r double, f double, v array<double>"
+
 
 def _rotation(dim: int, seed: int) -> np.ndarray:
     q, r = np.linalg.qr(np.random.default_rng(seed).standard_normal((dim, dim)))
@@ -77,7 +94,7 @@ def build_index(rows: DataFrame, dim: int, seed: int = 7) -> DataFrame:
             bits = np.packbits(u > 0, axis=1)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tobytes() for x in bits], pa.binary()), pa.array(r), pa.array(np.where(r > 0, f, 1.0)), batch.column(1)], ["id", "code", "r", "f", "v"])
 
-    index = saved(rows.mapInArrow(code, "id long, code binary, r double, f double, v array<double>"), "codes")
+    index = saved(rows.mapInArrow(code, INDEX_SCHEMA), "codes")
     index.centre, index.turn = mean, turn
     return index
 
@@ -105,6 +122,7 @@ def _searcher(qid: np.ndarray, qv: np.ndarray, mean: np.ndarray, turn: np.ndarra
                 code, r, f = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint8).reshape(len(vid), -1), part.column(2).to_numpy(), part.column(3).to_numpy()
                 sign = (np.unpackbits(code, axis=1, count=dim).astype(np.float32) * 2 - 1) / np.float32(np.sqrt(dim))
                 slack = r * np.sqrt(np.maximum(1 - f * f, 0)) / f * epsilon / np.sqrt(max(dim - 1, 1))
+                rows, found, scores = [row], [ids], [score]
                 for b in range(0, len(qid), 512):
                     c = slice(b, b + 512)
                     guess = shift[c, None] + (centred[c].astype(np.float32) @ sign.T) * (r / f)
@@ -118,13 +136,15 @@ def _searcher(qid: np.ndarray, qv: np.ndarray, mean: np.ndarray, turn: np.ndarra
                         exact[np.isinf(np.take_along_axis(guess, first, 1))] = -np.inf
                         if n == k:
                             floor[c] = np.maximum(floor[c], exact.min(1) - 1e-9 * np.abs(exact.min(1)))
-                    q, o = np.nonzero((upper >= floor[c, None]) & (upper > -np.inf))
-                    for s in range(0, len(q), 1 << 16):
-                        x, y = q[s : s + (1 << 16)] + b, o[s : s + (1 << 16)]
-                        exact = (qv[x] * v[y]).sum(1)
-                        keep = exact >= floor[x]
-                        row, ids, score = np.concatenate([row, x[keep]]), np.concatenate([ids, vid[y[keep]]]), np.concatenate([score, exact[keep]])
-                row, ids, score = _best(row, ids, score, k)
+                    near = (upper >= floor[c, None]) & (upper > -np.inf)
+                    for x in np.flatnonzero(near.any(1)).tolist():  # a query's survivors at a time: only their vectors are fetched
+                        y = np.flatnonzero(near[x])
+                        exact = (v[y] * qv[b + x]).sum(1)
+                        keep = exact >= floor[b + x]
+                        rows.append(np.full(keep.sum(), b + x))
+                        found.append(vid[y[keep]])
+                        scores.append(exact[keep])
+                row, ids, score = _best(np.concatenate(rows), np.concatenate(found), np.concatenate(scores), k)
                 full = np.bincount(row, minlength=len(qid)) == k
                 last = np.searchsorted(row, np.flatnonzero(full), "right") - 1
                 floor[full] = np.maximum(floor[full], score[last])
@@ -133,22 +153,58 @@ def _searcher(qid: np.ndarray, qv: np.ndarray, mean: np.ndarray, turn: np.ndarra
     return search
 
 
+def _packed(batches):
+    """Queries (id, v) to blocks of at most QUERY_BLOCK: ids and vectors as bytes."""
+    out = lambda t: pa.RecordBatch.from_arrays([pa.array([t.column(0).to_numpy().tobytes()], pa.binary()), pa.array([_matrix(t.column(1).combine_chunks()).tobytes()], pa.binary())], ["ids", "vectors"])
+    held, size = [], 0
+    for batch in batches:
+        for a in range(0, len(batch), QUERY_BLOCK):
+            held.append(batch.slice(a, QUERY_BLOCK))
+            size += len(held[-1])
+            while size >= QUERY_BLOCK:
+                whole = pa.Table.from_batches(held)
+                yield out(whole.slice(0, QUERY_BLOCK))
+                held, size = whole.slice(QUERY_BLOCK).to_batches(), size - QUERY_BLOCK
+    if size:
+        yield out(pa.Table.from_batches(held))
+
+
+def _streamed(files: list[str]):
+    """The index's rows in these files, some thousand at a time."""
+    names = [x.split()[0] for x in INDEX_SCHEMA.split(", ")]
+    for uri in files:
+        store, path = fs.FileSystem.from_uri(re.sub(r"^file:/(?!//)", "file:///", uri))
+        with store.open_input_file(path) as source:
+            yield from pq.ParquetFile(source).iter_batches(_STEP, columns=names)
+
+
 def nearest(vectors: DataFrame, queries: Column, k: int = 20, vec_id: str = "vec_id", vector: str = "embedding", seed: int = 7, epsilon: float = EPSILON) -> DataFrame:
     """The k nearest rows of each query row: query_id, rank, vec_id, score.
 
     queries is a condition on the column ``id``.  Nearness is the inner
     product in double precision; ties go to the smaller id.  Repeated ids are
-    searched once (any of their vectors) and found as often as they occur.
+    searched once, by their smallest vector, and found as often as they occur.
     """
     rows, dim = valid(vectors, vec_id, vector)
+    spark = vectors.sparkSession
     index = build_index(rows, dim, seed)
-    asked = index.where(queries).select("id", "v")
-    blocks = max(1, -(-asked.count() // (QUERY_BLOCK // 2)))
-    found = None
-    for b in range(blocks):  # each pass gathers a bounded block of the stated query set
-        block = (asked if blocks == 1 else asked.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b)).orderBy("id").toPandas().drop_duplicates("id")
-        qv = np.array(block["v"].tolist(), np.float64).reshape(len(block), dim)
-        part = index.mapInArrow(_searcher(block["id"].to_numpy(np.int64), qv, index.centre, index.turn, k, epsilon), "query_id long, vec_id long, score double")
-        found = part if found is None else found.union(part)
+    files = index.inputFiles()
+    asked = index.where(queries).groupBy("id").agg(F.min("v").alias("v"))
+    n = asked.count()
+    blocks = saved(asked.repartition(max(1, -(-n // QUERY_BLOCK))).mapInArrow(_packed, "ids binary, vectors binary"), "queries")
+    many = max(1, blocks.count())
+    wanted = min(len(files), max(1, -(-CELLS * spark.sparkContext.defaultParallelism // many)))
+    groups = spark.createDataFrame([(files[g::wanted],) for g in range(wanted)], "files array<string>")
+    # the stated query set against all rows, in blocks: a row here is a block and a group of files
+    cells = blocks.crossJoin(F.broadcast(groups)).repartition(many * wanted)
+    mean, turn = index.centre, index.turn
+
+    def search(batches):
+        for batch in batches:
+            for ids, v, files in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                qid = np.frombuffer(ids, np.int64)
+                yield from _searcher(qid, np.frombuffer(v, np.float64).reshape(len(qid), dim), mean, turn, k, epsilon)(_streamed(files))
+
+    found = cells.select("ids", "vectors", "files").mapInArrow(search, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -165,6 +165,26 @@ def test_ann_finds_what_brute_force_finds(spark):
     assert ann.nearest(table.limit(0), F.col("id") % 20 == 0).count() == 0
 
 
+def test_ann_recall_on_heavy_tails(spark, monkeypatch):
+    monkeypatch.setattr(ann, "QUERY_BLOCK", 32)
+    rng = np.random.default_rng(55)
+    v = rng.standard_t(2.5, (3000, 48)) * rng.lognormal(0, 1, (3000, 1))
+    table = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>").repartition(5)
+    got = {}
+    for r in ann.nearest(table, F.col("id") % 20 == 0, k=20).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    assert set(got) == set(range(0, 3000, 20)) and all(len(x) == 20 for x in got.values())
+    score = v @ v.T
+    hit = sum(len(set(sorted((i for i in range(3000) if i != q), key=lambda i: -score[q, i])[:20]) & x) for q, x in got.items())
+    assert hit / (20 * len(got)) >= 0.99
+
+
+def test_ann_repeated_ids(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [0.5, 0.25]), (1, [0.5, 0.25]), (2, [0.1, 3.0])]
+    got = [tuple(r) for r in ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("id") == 0, k=3).orderBy("rank").collect()]
+    assert got == [(0, 1, 2, 3.0), (0, 2, 1, 0.25), (0, 3, 1, 0.25)]  # asked by the smaller vector, (0, 1)
+
+
 # 3
 
 
