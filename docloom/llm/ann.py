@@ -28,16 +28,12 @@ id the smallest vector asks; as candidates, repeated rows are found each.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
-import pyarrow.parquet as pq
-from pyarrow import fs
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docloom.llm.common import saved
+from docloom.llm.common import file_batches, saved
 
 EPSILON = 3.0
 #: Queries of a block.
@@ -169,15 +165,6 @@ def _packed(batches):
         yield out(pa.Table.from_batches(held))
 
 
-def _streamed(files: list[str]):
-    """The index's rows in these files, some thousand at a time."""
-    names = [x.split()[0] for x in INDEX_SCHEMA.split(", ")]
-    for uri in files:
-        store, path = fs.FileSystem.from_uri(re.sub(r"^file:/(?!//)", "file:///", uri))
-        with store.open_input_file(path) as source:
-            yield from pq.ParquetFile(source).iter_batches(_STEP, columns=names)
-
-
 def nearest(vectors: DataFrame, queries: Column, k: int = 20, vec_id: str = "vec_id", vector: str = "embedding", seed: int = 7, epsilon: float = EPSILON) -> DataFrame:
     """The k nearest rows of each query row: query_id, rank, vec_id, score.
 
@@ -203,7 +190,7 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, vec_id: str = "vec
         for batch in batches:
             for ids, v, files in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 qid = np.frombuffer(ids, np.int64)
-                yield from _searcher(qid, np.frombuffer(v, np.float64).reshape(len(qid), dim), mean, turn, k, epsilon)(_streamed(files))
+                yield from _searcher(qid, np.frombuffer(v, np.float64).reshape(len(qid), dim), mean, turn, k, epsilon)(file_batches(files, INDEX_SCHEMA, _STEP))
 
     found = cells.select("ids", "vectors", "files").mapInArrow(search, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

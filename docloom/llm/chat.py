@@ -13,7 +13,7 @@ assistant's turns, derived from the segments' lengths by a prefix sum over
 
 Rows of a conversation stand by turn; equal turns by role, then by their
 token ids.  Null texts and roles are empty, null turns come first, rows with a
-null conversation id form one conversation.  A conversation of more than
+null conversation id form one conversation, repeated rows are turns each.  A conversation of more than
 PART_TOKENS is stored in several parts, cut between turns, and streamed.
 """
 
@@ -28,9 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docloom.llm.common import scratch_path
+from docloom.llm.common import file_batches, scratch_path
 
 PART_TOKENS = 1 << 16
+#: Parts that are read at once.
+READ_PARTS = 64
 RESERVED = ("<|turn|>", "<|sep|>", "<|end|>")
 CONTROL = (*RESERVED, "<|endoftext|>", "<|startoftext|>", "<|im_start|>", "<|im_end|>", "<<SYS>>", "<</SYS>>", "[INST]", "[/INST]", "<s>", "</s>")
 _ESCAPE = re.compile(r"\\|" + "|".join(map(re.escape, CONTROL)))
@@ -136,7 +138,7 @@ def write_chats(turns: DataFrame, tokenizer: str | None = None, learned: str = "
     rows = turns.select(F.col(conv_id).cast("long").alias("conv_id"), F.col(turn).cast("long").alias("turn"), F.col(role).cast("string").alias("role"), F.col(text).cast("string").alias("text"))
     coded = rows.mapInArrow(_encode(tokenizer or default_path(), learned), _ENCODED)
     path = scratch_path(turns.sparkSession, "chats")
-    coded.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "ids").mapInArrow(_assemble, STORED).write.parquet(path)
+    coded.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "ids").mapInArrow(_assemble, STORED).write.option("maxRecordsPerFile", 0).parquet(path)
     return path
 
 
@@ -174,5 +176,12 @@ def read_chats(spark, path: str, tokenizer: str | None = None) -> DataFrame:
         if conv is not ...:
             yield out()
 
-    stored = spark.read.schema(STORED).parquet(path)
-    return stored.repartition("conv_id").sortWithinPartitions("conv_id", "part").mapInArrow(go, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    def opened(batches):
+        for batch in batches:
+            for file in batch.column(0).to_pylist():
+                yield from go(file_batches([file], STORED, READ_PARTS))
+
+    # a conversation's parts stand together, in order, in one file: a task reads whole files and nothing is shuffled
+    files = spark.read.schema(STORED).parquet(path).inputFiles()
+    rows = spark.createDataFrame([(f,) for f in files], "file string").repartition(max(1, len(files)))
+    return rows.mapInArrow(opened, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
