@@ -24,7 +24,8 @@ _CONTROL = np.zeros(256, bool)
 _CONTROL[:9] = _CONTROL[14:32] = _CONTROL[127] = True
 _TAIL = np.zeros(256, bool)
 _TAIL[[ord(c) for c in "strvmldSTRVMLD"]] = True
-_SLOTS = 1 << 19
+#: Places of known pieces, 14 bytes each; one is overwritten by the next of its place.
+_SLOTS = 1 << 21
 _LONGEST = 200
 
 
