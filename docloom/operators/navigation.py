@@ -12,11 +12,6 @@ from pyspark.sql import functions as F
 from docloom.functions import rules
 from docloom.functions import scalars as S
 
-#: Domains a portal may have besides those named v1-, and their order.
-KNOWN_DOMAINS = ("banking", "dock-one", "pier", "acquiring", "start")
-DOMAIN_ORDER = ("start", "dock-one", "banking", "pier", "acquiring", "v1-dock-one", "v1-banking", "v1-pier", "v1-acquiring")
-
-
 def _one_by_url(nav: DataFrame, pick, key: Column) -> DataFrame:
     """One row of each key, whole: a reduction, so a URL of any frequency is no burden."""
     names = nav.columns
@@ -157,9 +152,10 @@ def sort_by_nav(docs: DataFrame, nav: DataFrame) -> DataFrame:
     return docs.join(ranks, "domain", "left").withColumn("nav_rank", F.coalesce("nav_rank", F.lit(999))).orderBy("nav_rank", F.expr("collate(title, 'UNICODE')"))
 
 
-def domain_slugs(urls: DataFrame, base_url: Column) -> DataFrame:
-    """Portal domains among URLs' first segments: slug, rank."""
+def domain_slugs(urls: DataFrame, base_url: Column, known: tuple[str, ...], order: tuple[str, ...] = ()) -> DataFrame:
+    """Portal domains among URLs' first segments, those known and those named v1-...: slug, rank (by order, then by known; 999 for others)."""
     first = F.get(F.filter(F.split(S.url_path(F.col("url")), "/"), lambda s: s != ""), F.lit(0))
-    rank = F.array_position(F.array(*[F.lit(d) for d in DOMAIN_ORDER]), F.col("slug"))
-    found = urls.where(S.is_url(F.col("url"))).select(first.alias("slug")).where(F.startswith("slug", F.lit("v1-")) | F.col("slug").isin(*KNOWN_DOMAINS)).distinct()
+    places = [*order, *(k for k in known if k not in order)]
+    rank = F.array_position(F.array(*[F.lit(d) for d in places]), F.col("slug"))
+    found = urls.where(S.is_url(F.col("url"))).select(first.alias("slug")).where(F.startswith("slug", F.lit("v1-")) | F.col("slug").isin(*known)).distinct()
     return found.withColumn("rank", F.when(rank == 0, 999).otherwise(rank - 1).cast("int"))

@@ -15,7 +15,7 @@ from docloom.sources import readers, writers
 
 
 def _t(spark, d, name) -> DataFrame:
-    return spark.read.parquet(f"{d}/{name}.parquet")
+    return readers.spread(spark.read.parquet(f"{d}/{name}.parquet"))
 
 
 def _own(c="url"):
@@ -227,9 +227,9 @@ def token_estimate(spark, d):
     return _t(spark, d, "documents").select("doc_id", S.estimate_tokens(F.col("text")).alias("tokens"))
 
 
-@register("slugs", f"SELECT doc_id, {D.slug('left(text, 90)')} AS slug, {D.safe_slug('left(text, 90)')} AS safe, {D.capitalised(D.safe_slug('left(text, 90)'))} AS titled FROM documents")
+@register("slugs", f"SELECT doc_id, {D.slug('text')} AS slug, {D.safe_slug('text')} AS safe, {D.capitalised(D.safe_slug('text'))} AS titled FROM documents")
 def slugs(spark, d):
-    # of the whole text, made once a row; the SQL above reads 90 signs, so the two agree on texts of up to 90 alone
+    # of the whole text, made once a row
     made = _t(spark, d, "documents").select("doc_id", S.slugify(F.col("text")).alias("slug"))
     named = made.select("doc_id", "slug", S.safe_of(F.col("slug")).alias("safe"))
     return named.select("doc_id", "slug", "safe", S.humanize_slug(F.col("safe")).alias("titled"))
@@ -548,10 +548,10 @@ def health(spark, d):
     return corpus.health(p.select("id"), p.where("ord % 5 > 0").select("id"))
 
 
-@register("domain_slugs", "SELECT * FROM (VALUES ('start', 0::INTEGER), ('banking', 2::INTEGER), ('v1-pier', 7::INTEGER), ('v1-new', 999::INTEGER)) AS t(slug, rank)")
+@register("domain_slugs", "SELECT * FROM (VALUES ('start', 0::INTEGER), ('cards', 2::INTEGER), ('v1-cards', 3::INTEGER), ('v1-new', 999::INTEGER)) AS t(slug, rank)")
 def domain_slugs(spark, d):
-    urls = spark.sql("SELECT * FROM (VALUES ('https://h/banking/x'), ('https://h/start'), ('https://h/v1-pier/reference/a'), ('https://h/v1-new/b'), ('https://h/other/c'), ('https://h/banking/z')) AS t(url)")
-    return navigation.domain_slugs(urls, F.lit("https://h"))
+    urls = spark.sql("SELECT * FROM (VALUES ('https://h/cards/x'), ('https://h/start'), ('https://h/v1-cards/reference/a'), ('https://h/v1-new/b'), ('https://h/other/c'), ('https://h/cards/z')) AS t(url)")
+    return navigation.domain_slugs(urls, F.lit("https://h"), ("start", "loans", "cards"), ("start", "loans", "cards", "v1-cards"))
 
 
 @register("tree_merge", "SELECT * FROM (VALUES ('a', 'A', 'https://h/a'), ('a/b', 'B', 'https://h/b'), ('a/c', 'C', NULL), ('d', 'D', 'https://h/d')) AS t(path, title, url)")

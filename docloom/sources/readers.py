@@ -10,9 +10,15 @@ from docloom.functions import rules
 from docloom.functions import scalars as S
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table of fewer partitions than the cluster has cores is dealt out over them; any other stays as it is read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def raw_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The page cache table: page_id, url, html."""
-    return spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    return spread(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"))
 
 
 def html_files(spark: SparkSession, folder: str) -> DataFrame:

@@ -182,8 +182,8 @@ def test_api_calls(spark):
 def test_navigation_lists(spark):
     raw = spark.createDataFrame([(1, "https://h/users", _HTML)], "page_id long, url string, html string")
     nav = pages.nav_rows(pages.parse_pages(raw))
-    moved = navigation.under_domain(nav, "v1-pier").orderBy("ord").first()
-    assert moved.navPath[0] == "v1-pier" and moved.pathTitles[0] == "Pier"
+    moved = navigation.under_domain(nav, "v1-cards").orderBy("ord").first()
+    assert moved.navPath[0] == "v1-cards" and moved.pathTitles[0] == "Cards"
     tree = navigation.tree_rows(nav)
     assert navigation.flatten_tree(tree).count() == 4 and navigation.folders(tree).where("domain = 'guide'").first().slugs == ["guide", "alpha", "beta-page"]
 
