@@ -107,8 +107,9 @@ class _Builder(HTMLParser):
             self.open.append(self._push(old.tag, dict(old.attrs)))
 
     def _close(self, at: int):
-        """Closes the open elements from place at; their unclosed formatting goes on."""
-        self.pending += [n for n in self.open[at + 1 :] if n.tag in FORMAT]
+        """Closes the open elements from place at; their unclosed formatting goes on, of equal elements the last three."""
+        held = self.pending + [n for n in self.open[at + 1 :] if n.tag in FORMAT]
+        self.pending = [n for i, n in enumerate(held) if sum(m.tag == n.tag and m.attrs == n.attrs for m in held[i + 1 :]) < 3]
         del self.open[at:]
 
     def handle_starttag(self, tag, attrs):

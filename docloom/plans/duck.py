@@ -117,3 +117,24 @@ def should_crawl(url, base):
 LINKS = f"""(SELECT page_id, page_url, i, title, regexp_replace({origin("page_url")} || {encoded("href")}, '#[\\s\\S]*', '') AS url, href FROM (
   SELECT page_id, page_url, i, {unescape("regexp_extract(m, '<a href=\"([^\"]*)\">', 1)")} AS href, {trim(unescape("regexp_extract(m, '<a href=\"[^\"]*\">([\\s\\S]*?)</a>', 1)"))} AS title FROM (
     SELECT page_id, url AS page_url, unnest(ms) AS m, generate_subscripts(ms, 1) AS i FROM (SELECT page_id, url, regexp_extract_all(html, '<li><a href="[^"]*">[\\s\\S]*?</a></li>') AS ms FROM pages))) WHERE NOT starts_with(href, '#'))"""
+
+
+def shown(x):
+    """Text as markdown shows it: white space collapsed, signs escaped."""
+    tidy = f"trim(regexp_replace({x}, '[ \\t\\r\\n\\f]+', ' ', 'g'))"
+    return chain(tidy, ("([\\\\*_`\\[\\]])", "\\\\\\1"), ("^(#{1,6} |[-+] |>|=+|~~~)", "\\\\\\1"), ("^(\\d+)\\. ", "\\1\\\\. "))
+
+
+#: Paragraphs of the fixture pages: a <b> that is never closed goes on in all later ones, three deep at most.
+PARAGRAPHS = f"""(SELECT page_id, i, repeat('**', b + least(3, coalesce(sum(b) OVER (PARTITION BY page_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::INTEGER) AS mark, said FROM (
+  SELECT page_id, i, starts_with(p, '<b>')::INTEGER AS b, {unescape("regexp_replace(p, '<b>|</p>|<br>$', '', 'g')")} AS said FROM (
+    SELECT page_id, unnest(ps) AS p, generate_subscripts(ps, 1) AS i FROM (
+      SELECT page_id, string_split(regexp_extract(html, '<article>[\\s\\S]*?</h1>([\\s\\S]*?)</article>', 1), '<p>') AS ps FROM pages)) WHERE i > 1))"""
+
+_SLUG_TITLE = capitalised("regexp_replace(slug, '(?i)^(get|post|put|patch|delete)-', '')")
+
+#: Documents of the fixture pages, by patterns instead of a tree.
+DOCUMENTS = f"""(SELECT *, concat_ws(chr(10), nullif(page_title, ''), nullif(first, ''), markdown) AS content, CASE WHEN slug NOT IN ('', 'page') AND length({_SLUG_TITLE}) > 2 THEN {_SLUG_TITLE} ELSE page_title END AS title FROM (
+  SELECT page_id, url, {trim(h1())} AS page_title, '# ' || {shown(h1())} || coalesce(chr(10) || chr(10) || body, '') AS markdown, coalesce(first, '') AS first,
+    {url_domain("url")} AS domain, {safe_slug(url_slug("url"), 48)} AS subcategory, {url_slug("url")} AS slug, {page_type(h1(), "url")} AS type
+  FROM pages LEFT JOIN (SELECT page_id, string_agg(mark || {shown("said")} || mark, chr(10) || chr(10) ORDER BY i) AS body, left(arg_min({trim("said")}, i), 500) AS first FROM {PARAGRAPHS} GROUP BY page_id) USING (page_id)))"""

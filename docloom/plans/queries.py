@@ -123,7 +123,13 @@ def page_parse(spark, d):
     return pages.parse_pages(_t(spark, d, "pages")).select(F.col("ord").alias("page_id"), "framework", "title", F.size("headings").alias("headings"), F.size("links").alias("links"))
 
 
-@register("page_documents")
+_PAGE_DOCUMENTS = f"""SELECT page_id AS ord, {D.url_hash("url")} AS id, title, domain, subcategory, type, url, content, markdown, CASE WHEN {D.is_placeholder("first")} THEN first ELSE {D.trim("first")} END AS description, 1::INTEGER AS n_headings,
+  domain || ',' || type || CASE WHEN subcategory <> domain THEN ',' || subcategory ELSE '' END AS tags, {D.content_hash("content")} AS "contentHash", 'unknown' AS framework,
+  CASE WHEN bad AND held THEN 'failed' WHEN bad OR held THEN 'partial' ELSE 'complete' END AS "extractionQuality", 20::INTEGER AS score, 'broken' AS grade
+  FROM (SELECT *, {D.title_bad("title")} AS bad, {D.placeholder("content")} OR {D.placeholder("markdown")} AS held FROM {D.DOCUMENTS})"""
+
+
+@register("page_documents", _PAGE_DOCUMENTS)
 def page_documents(spark, d):
     out = pipeline.rebuild(_t(spark, d, "pages"))
     return out.select("ord", "id", "title", "domain", "subcategory", "type", "url", "content", "markdown", "description", F.size("headings").alias("n_headings"), F.array_join("tags", ",").alias("tags"), "contentHash", "framework", "extractionQuality", F.col("qualityScore.score").alias("score"), F.col("qualityScore.grade").alias("grade"))
@@ -297,12 +303,30 @@ def chunk_sections(spark, d):
     return _flat(chunks.chunk_sections(_chats(spark, d)))
 
 
-@register("chunk_paragraphs")
+def _packed(text):
+    """Greedily packed paragraphs of a text, a line each; chr(1) stands between the pieces."""
+    paragraphs = f"list_filter(list_transform(regexp_split_to_array({text}, '\\n+'), lambda p: {D.plain('p')}), lambda p: length(p) > 20)"
+    grown = "(regexp_extract(acc, '[^' || chr(1) || ']*$') || chr(10) || chr(10) || p)"
+    step = f"CASE WHEN {D.tokens(grown)} > 512 THEN acc || chr(1) || p ELSE acc || chr(10) || chr(10) || p END"
+    return f"CASE WHEN len({paragraphs}) = 0 THEN [] ELSE string_split(list_reduce({paragraphs}, lambda acc, p: {step}), chr(1)) END"
+
+
+_PARAGRAPHS = f"""WITH packed AS (SELECT doc_id, source, {_packed("text")} AS cs FROM documents WHERE text IS NOT NULL),
+pieces AS (SELECT CAST(doc_id AS VARCHAR) AS doc, source AS domain, 'concept' AS type, 'section-' || (i - 1) AS section, 'section-' || (i - 1) AS named, 'content' AS kind, source || ' Document ' || doc_id AS hint, 'https://docs.example/' || source || '/' || doc_id AS url, i, raw
+  FROM (SELECT doc_id, source, unnest(cs) AS raw, generate_subscripts(cs, 1) AS i FROM packed)) {_CHUNK}"""
+
+
+@register("chunk_paragraphs", _PARAGRAPHS)
 def chunk_paragraphs(spark, d):
     return _flat(chunks.chunk_by_size(_text_docs(spark, d).withColumn("markdown", F.regexp_replace("markdown", "\n", "\n\n")), paragraph_aware=True))
 
 
-@register("chunk_pages")
+_PAGE_CHUNKS = f"""WITH cut AS (SELECT *, {D.slug("regexp_extract(markdown, '^# ([^\\n]+)', 1)")} AS s, {D.tokens("markdown")} > 512 AS over FROM {D.DOCUMENTS}),
+pieces AS (SELECT {D.url_hash("url")} AS doc, domain, type, CASE WHEN over THEN s || '-section-0' ELSE s END AS section, CASE WHEN over THEN 'section-0' ELSE s END AS named, CASE WHEN over THEN 'content' ELSE 'section' END AS kind,
+  domain || ' ' || title AS hint, url, 0 AS i, CASE WHEN over THEN {D.plain("markdown")} ELSE markdown END AS raw FROM cut) {_CHUNK}"""
+
+
+@register("chunk_pages", _PAGE_CHUNKS)
 def chunk_pages(spark, d):
     return _flat(chunks.chunk_documents(pipeline.rebuild(_t(spark, d, "pages"))))
 

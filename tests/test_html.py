@@ -92,3 +92,8 @@ def test_json_properties_nest_to_a_depth():
 def test_null_page():
     out = P.extract(None, None)
     assert out["title"] == "Untitled" and out["markdown"] == "" and out["endpoint"] is None
+
+
+def test_unclosed_formatting_is_reopened_three_deep_at_most():
+    md = H.markdown(H.parse("<p><b>x" * 6 + "<p>y").first("body"))
+    assert md.split("\n\n")[-1] == "******y******" and md.split("\n\n")[4] == "********x********"
