@@ -9,7 +9,9 @@ first and to an ancestor's siblings only when all siblings are full.
 A leaf with budget b and t tokens takes b div t whole epochs and, of the next
 epoch's seeded order, the documents that start before token b mod t.  Orders
 are by md5(seed:epoch:id), so they need no sort of the corpus: rows are
-counted in hash buckets, and only the bucket that holds the cut is ordered.
+counted in hash buckets, and only the bucket that holds the cut is ordered.  A
+leaf of n rows has about sqrt(n) buckets of sqrt(n) rows: neither the sums nor
+the rows that one task orders grow with the leaf as such.
 
 Null languages and sources are leaves of their own, named ``(none)``; a null
 id is hashed as the empty string.  Rows with one id are one unit of the order:
@@ -28,7 +30,6 @@ from pyspark.sql import functions as F
 
 from docloom.llm.common import saved
 
-BUCKET_ROWS = 4096
 #: Leaves up to which their table is broadcast (about 100 bytes each).
 SENT = 100_000
 LEAF = ["domain", "lang", "source"]
@@ -105,7 +106,7 @@ def plan(rows: DataFrame, mixture: Mixture) -> DataFrame:
     """Per leaf: budget, epochs (whole ones), rest (tokens of the next), last (the key of the document at the cut), cut_start."""
     leaves = budgets(rows, mixture).withColumn("epochs", F.expr("case when tokens > 0 then budget div tokens else 0 end")).withColumn("rest", F.col("budget") - F.col("epochs") * F.col("tokens"))
     leaves = saved(leaves, "budgets")
-    open_ = leaves.where("rest > 0").select(*LEAF, "epochs", "rest", F.greatest(F.lit(1), F.expr(f"docs div {BUCKET_ROWS}")).alias("buckets"))
+    open_ = leaves.where("rest > 0").select(*LEAF, "epochs", "rest", F.ceil(F.sqrt("docs")).alias("buckets"))
     placed = rows.join(_sent(open_), LEAF).withColumn("key", _key(mixture.seed))
     placed = placed.withColumn("bucket", F.expr("cast(conv(substring(key, 1, 8), 16, 10) as bigint) * buckets div 4294967296"))
     by = placed.groupBy(*LEAF, "bucket", "rest").agg(F.sum("n_tokens").alias("t"))

@@ -116,8 +116,7 @@ def brute_mix(rows, m, domain):
     return out
 
 
-def test_mixing(spark, monkeypatch):
-    monkeypatch.setattr(mixing, "BUCKET_ROWS", 4)
+def test_mixing(spark):
     m = mixing.Mixture("CASE WHEN source = 'src1' THEN 'a' ELSE 'b' END", {"a": 3}, {"en": 2, "de": 5}, {"src2": 4}, 7, 10, max_epochs=2)
     docs = documents(spark).withColumn("copies", F.lit("clash")).withColumn("key", F.lit(0))
     got = mixing.select(docs, m).collect()
