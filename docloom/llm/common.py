@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import re
 import tempfile
 import uuid
 from contextlib import contextmanager
 from contextvars import ContextVar
 
+import pyarrow as pa
 import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -88,11 +91,28 @@ def release(spark: SparkSession) -> None:
     drop(spark, list(_scratch))
 
 
-def bound_batches(spark: SparkSession, rows: int = 500) -> None:
-    """Arrow batches of few rows: texts may be long, and a batch is held twice, by the JVM and by its Python worker."""
+def bound_batches(spark: SparkSession, rows: int = 500, megabytes: int = 8) -> None:
+    """Arrow batches of few rows and bytes: texts may be long, and a batch is held twice, by the JVM and by its Python worker."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= rows:
         spark.conf.set(key, rows)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", megabytes << 20)
+
+
+def lean(f):
+    """f over Arrow batches; what a task has freed goes back to the system at its end, as a worker lives on for the next."""
+
+    @functools.wraps(f)
+    def go(batches):
+        try:
+            yield from f(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc alone has it
+            if trim is not None:
+                trim(0)
+
+    return go
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

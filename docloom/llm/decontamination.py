@@ -1,6 +1,6 @@
 """Benchmark decontamination with a distributed positional inverted index.
 
-Index: documents are dealt into blocks of some millions of words.  A block's
+Index: documents are dealt into blocks of about a million words.  A block's
 row holds its sorted terms (64-bit word hashes), the extent of each term's
 postings, the postings themselves (positions, ascending, 32 bit) and the
 bounds of its documents.  Positions of neighbouring documents are GAP apart,
@@ -33,10 +33,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docloom.llm.bytekernel import ALNUM, U, slices, span_hashes, text_bytes, word_spans
-from docloom.llm.common import saved
+from docloom.llm.common import lean, saved
 
 GAP = 64
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 1_000_000
 #: Words of tests (8 bytes each) that travel with a pass; larger sets take several passes over the index.
 TEST_BYTES = 16 << 20
 PIECE_WORDS = 100_000
@@ -83,7 +83,7 @@ def build_index(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", blo
         if held:
             yield out()
 
-    return docs.select(F.col(doc_id).cast("long"), F.col(text).cast("string")).mapInArrow(build, INDEX_SCHEMA)
+    return docs.select(F.col(doc_id).cast("long"), F.col(text).cast("string")).mapInArrow(lean(build), INDEX_SCHEMA)
 
 
 class Block:
@@ -179,7 +179,7 @@ def _pieces(tests: DataFrame, window: int, item_id: str, text: str) -> DataFrame
                     yield pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([terms[a : a + PIECE_WORDS + window - 1].tobytes()], pa.binary())], ["i", "terms"])
 
     rows = tests.select(F.col(item_id).cast("long").alias("i"), F.col(text).cast("string").alias("t")).where("t is not null")
-    return rows.mapInArrow(cut, "i long, terms binary").distinct()
+    return rows.mapInArrow(lean(cut), "i long, terms binary").distinct()
 
 
 def _passes(tests: DataFrame, window: int, item_id: str, text: str):
@@ -241,10 +241,10 @@ def phrase_hits(index: DataFrame, tests: DataFrame, window: int = 10, item_id: s
 
     n, passes = _passes(tests, window, item_id, text)
     if n == 1:
-        return index.mapInArrow(searcher(next(passes)), HITS)
+        return index.mapInArrow(lean(searcher(next(passes))), HITS)
     whole = None
     for items in passes:  # a pass's words are let go once its hits are written
-        part = saved(index.mapInArrow(searcher(items), HITS), "hits")
+        part = saved(index.mapInArrow(lean(searcher(items)), HITS), "hits")
         whole = part if whole is None else whole.unionByName(part)
     merged = F.aggregate(
         F.array_sort(F.flatten(F.collect_list("spans"))),

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docloom.llm.bytekernel import slices
-from docloom.llm.common import scratch_path
+from docloom.llm.common import lean, scratch_path
 from docloom.llm.tokenise import WordEncoder, default_path
 
 SHARD_TOKENS = 1_500_000
@@ -205,7 +205,7 @@ def write_shards(docs: DataFrame, tokenizer: str | None = None, end_id: int = 2,
 
     path = scratch_path(docs.sparkSession, "shards")
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(encode, SCHEMA).write.parquet(path)
+    rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(lean(encode), SCHEMA).write.parquet(path)
     return path
 
 
@@ -228,5 +228,5 @@ def read_documents(spark, path: str) -> DataFrame:
     stored = spark.read.schema(SCHEMA).parquet(path)
     before = Window.orderBy("part", "seq").rowsBetween(Window.unboundedPreceding, -1)  # over one row a shard
     shards = stored.select("part", "seq", "tokens").withColumn("before", F.coalesce(F.sum("tokens").over(before), F.lit(0))).drop("tokens")
-    out = stored.mapInArrow(decode, "part int, seq int, doc_id long, at long, n_tokens long, ids_crc32 long")
+    out = stored.mapInArrow(lean(decode), "part int, seq int, doc_id long, at long, n_tokens long, ids_crc32 long")
     return out.join(shards, ["part", "seq"]).select("doc_id", (F.col("before") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docloom.llm.bytekernel import U, HashIndex, gather, slices, span_hashes, text_bytes, word_spans
-from docloom.llm.common import crc_mod, sampled, saved
+from docloom.llm.common import crc_mod, lean, sampled, saved
 
 TRAIN_ROWS = 20_000
 MODEL_CELLS = 4_000_000
@@ -82,7 +82,7 @@ def _counts(train: DataFrame) -> DataFrame:
                     for kind, name, c in found:
                         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(name), pa.string()), pa.array(np.full(len(name), kind, np.int32)), pa.array(name.view(np.int64)), pa.array(c.astype(np.int64))], ["lang", "kind", "h", "c"])
 
-    return train.mapInArrow(go, "lang string, kind int, h long, c long").groupBy("lang", "kind", "h").agg(F.sum("c").alias("c"))
+    return train.mapInArrow(lean(go), "lang string, kind int, h long, c long").groupBy("lang", "kind", "h").agg(F.sum("c").alias("c"))
 
 
 class Model:
@@ -184,7 +184,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] |
                 best, share = opened.score(column.slice(i, j - i)) if opened else (np.full(j - i, -1), np.zeros(j - i))
                 yield pa.RecordBatch.from_arrays([*rest.slice(i, j - i).columns, pa.array(names[best], pa.string()), pa.array(share)], [*rest.schema.names, "lang_pred", "score"])
 
-    return docs.select(*kept.columns, "__text").mapInArrow(go, schema)
+    return docs.select(*kept.columns, "__text").mapInArrow(lean(go), schema)
 
 
 def identify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
