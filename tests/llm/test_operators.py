@@ -563,6 +563,48 @@ def test_ngram_join(spark, monkeypatch, k, num, light, pivots):
     assert ngram_join.jaccard_components(empty(spark)).count() == 0
 
 
+def test_ngram_join_groups(spark, monkeypatch):
+    """Texts with most of their shingles in common that don't link: pairs grow in proportion to the group, and no link between two of them is lost."""
+    settled, pairs = ngram_join.settled, {}
+
+    def counted(df, name, small):
+        out = settled(df, name, small)
+        if name == "pairs":
+            pairs[size] = pairs.get(size, 0) + out[1]
+        return out
+
+    monkeypatch.setattr(ngram_join, "settled", counted)
+    for size in (100, 300):
+        common_part, rows = [f"v{i}" for i in range(300)], []
+        for i in range(size):
+            tail = [f"t{i}_{j}" for j in range(45)]
+            rows.append((3 * i, " ".join(common_part + tail)))
+            if i % 10 == 0:  # these two link, and a third only with the second
+                rows.append((3 * i + 1, " ".join(common_part[4:] + tail[:38])))
+                rows.append((3 * i + 2, " ".join(common_part[30:] + tail[:38])))
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        got = ngram_join.jaccard_components(docs, 5, 80, 100).collect()
+        assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_components(docs.collect(), 5, 80, 100)
+    assert pairs[300] <= 4 * pairs[100]
+
+
+@pytest.mark.parametrize(("k", "num"), [(3, 80), (2, 50), (1, 90)])
+def test_ngram_join_differences(spark, monkeypatch, k, num):
+    """Near copies of a few texts and of each other, by scattered edits: differences from pivots lose no link."""
+    monkeypatch.setattr(ngram_join, "LIGHT", 2)
+    monkeypatch.setattr(ngram_join, "PIVOTS", 1)
+    rng = np.random.default_rng(19)
+    texts = [[f"w{i}_{j}" for j in range(50)] for i in range(2)]
+    for _ in range(110):
+        words = list(texts[rng.integers(0, len(texts))])
+        for at in rng.integers(0, len(words), rng.integers(1, 8)):
+            words[at] = f"e{rng.integers(0, 12)}" if rng.random() < 0.7 else ""
+        texts.append(words)
+    docs = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(texts)], "doc_id long, text string")
+    got = ngram_join.jaccard_components(docs, k, num, 100).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_components(docs.collect(), k, num, 100)
+
+
 def test_ngram_join_null_ids(spark):
     docs = spark.createDataFrame([(None, "a b c d"), (7, "a b c d"), (None, None), (8, "z")], "doc_id long, text string")
     got = sorted(((r.doc_id, r.component_id) for r in ngram_join.jaccard_components(docs).collect()), key=str)
