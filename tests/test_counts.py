@@ -1,5 +1,8 @@
 """Counts and numbers where several pages share a URL."""
 
+import pytest
+
+from docloom.operators import pages
 from docloom.plans import queries
 
 def _pages(spark, folder, rows):
@@ -14,3 +17,9 @@ def test_health_of_pages_with_one_url(spark, tmp_path):
 def test_rebuild_counts_of_pages_with_one_url(spark, tmp_path):
     d = _pages(spark, tmp_path, [(1, "https://h/a", "x"), (5, "https://h/a", "y"), (10, "https://h/b", "z"), (11, "https://h/c", "w")])
     assert tuple(queries.rebuild_counts(spark, d).first()) == (2, 2)
+
+
+@pytest.mark.parametrize(("html", "want"), [("a&amp;&amp", "a&&amp"), ("a&ampb &lt;&lt", "a&ampb <&lt"), ("&#65;&#66 &#x43;&#x44", "A&#66 C&#x44"), ("﷐&amp", "﷐&amp"), ("A & B", "A & B")])
+def test_references_without_semicolon_are_text(html, want):
+    got = pages.extract(f'<h1>{html}</h1><ul><li><a href="/x?a=1&copy=2&amp;b">link</a></li></ul><main><a href="/x?a=1&copy=2&amp;b">l</a></main><script>a && b</script>', "https://h/")
+    assert got["title"] == want and got["links"] == ["https://h/x?a=1&copy=2&b"]
