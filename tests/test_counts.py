@@ -2,8 +2,8 @@
 
 import pytest
 
-from docloom.operators import pages
-from docloom.plans import queries
+from docloom.operators import chunks, pages
+from docloom.plans import pipeline, queries
 
 def _pages(spark, folder, rows):
     spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{folder}/pages.parquet")
@@ -23,3 +23,10 @@ def test_rebuild_counts_of_pages_with_one_url(spark, tmp_path):
 def test_references_without_semicolon_are_text(html, want):
     got = pages.extract(f'<h1>{html}</h1><ul><li><a href="/x?a=1&copy=2&amp;b">link</a></li></ul><main><a href="/x?a=1&copy=2&amp;b">l</a></main><script>a && b</script>', "https://h/")
     assert got["title"] == want and got["links"] == ["https://h/x?a=1&copy=2&b"]
+
+
+def test_chunks_of_pages_with_one_url_are_numbered_through(spark):
+    page = lambda i, url, word: (i, url, f"<html><body><main><h1>{word}</h1><p>{word} {'text ' * 9}</p></main></body></html>")
+    raw = spark.createDataFrame([page(3, "https://h/a", "late"), page(1, "https://h/a", "early"), page(2, "https://h/b", "other")], "page_id long, url string, html string")
+    got = sorted((c.sourceUrl, c.ordinal, c.section) for c in chunks.chunk_documents(pipeline.rebuild(raw)).collect())
+    assert got == [("https://h/a", 0, "early"), ("https://h/a", 1, "late"), ("https://h/b", 0, "other")]
