@@ -30,3 +30,22 @@ def test_chunks_of_pages_with_one_url_are_numbered_through(spark):
     raw = spark.createDataFrame([page(3, "https://h/a", "late"), page(1, "https://h/a", "early"), page(2, "https://h/b", "other")], "page_id long, url string, html string")
     got = sorted((c.sourceUrl, c.ordinal, c.section) for c in chunks.chunk_documents(pipeline.rebuild(raw)).collect())
     assert got == [("https://h/a", 0, "early"), ("https://h/a", 1, "late"), ("https://h/b", 0, "other")]
+
+
+def test_ngram_join_keeps_only_what_its_result_reads(spark, monkeypatch):
+    import os
+
+    from docloom.llm import common, ngram_join
+
+    words = [f"w{i}" for i in range(200)]
+    rows = [(g * 100 + k, " ".join([f"g{g}x{w}" for w in words[k:]])) for g in range(3) for k in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = None
+    for bytes_at_once in (64 << 20, 0):  # all fragments at once, then one by one
+        monkeypatch.setattr(ngram_join, "AT_ONCE", bytes_at_once)
+        before = set(common._scratch)
+        got = sorted(map(tuple, ngram_join.jaccard_components(docs).collect()))
+        left = sorted(p.rpartition("/")[2].partition("-")[0] for p in common._scratch if p not in before and os.path.exists(p))
+        assert left == ["counts", "edges"] and (want is None or got == want)
+        want = got
+    assert {r[3] for r in want} == {0, 100, 200}
