@@ -468,17 +468,34 @@ def nav_of(root: H.Node, base: str, selectors: list[str]) -> list[dict]:
     return out
 
 
+#: The words that the frameworks' patterns are alternatives of, folded.
+_FRAMEWORK_WORDS = sorted({re.sub(r"\\(.)", r"\1", w).casefold() for _, p in rules.FRAMEWORKS for w in p.removeprefix("(?i)").split("|")})
+
+
 def framework_of(html: str) -> str:
+    folded = html.casefold()
+    if not any(w in folded for w in _FRAMEWORK_WORDS):
+        return "unknown"
     return next((name for name, p in rules.FRAMEWORKS if re.search(p, html)), "unknown")
 
 
+#: What can be read off a page without the rest.
+LINK_PARTS = ("links", "sidebar_links", "nav")
+
+
+def _link_part(name: str, root: H.Node, base: str, sel: dict) -> list:
+    if name == "nav":
+        return nav_of(root, base, sel["sidebar"])
+    return links_of(root, base, SIDEBAR_LINKS, True) if name == "sidebar_links" else links_of(root, base, ", ".join([*sel["links"], "main a[href]", "article a[href]"]), False)
+
+
 def extract(html: str | None, url: str | None) -> dict:
     """All parts of one page.  Null pages are empty ones."""
     html, base = html or "", url or "http://localhost/"
     fw = framework_of(html)
     sel = SELECTORS[fw]
     root = H.parse(html)
-    out = {"framework": fw, "tables": tables_of(root), "code": code_of(root), "links": links_of(root, base, ", ".join([*sel["links"], "main a[href]", "article a[href]"]), False), "sidebar_links": links_of(root, base, SIDEBAR_LINKS, True), "nav": nav_of(root, base, sel["sidebar"])}
+    out = {"framework": fw, "tables": tables_of(root), "code": code_of(root)} | {p: _link_part(p, root, base, sel) for p in LINK_PARTS}
     out["schema_blocks"] = [_example("json", s["raw"], s["name"], "schema") for s in schemas_of(root)]
     body_text_root = H.parse(html)
     out |= _content(root, sel)
@@ -486,21 +503,31 @@ def extract(html: str | None, url: str | None) -> dict:
     return out
 
 
-def parse_pages(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """(ord, url, parsed...) of raw pages; ord is the page id."""
+def extract_only(html: str | None, url: str | None, parts: tuple[str, ...]) -> dict:
+    """Some of LINK_PARTS of one page, as extract gives them."""
+    html, base = html or "", url or "http://localhost/"
+    root, sel = H.parse(html), SELECTORS[framework_of(html)]
+    return {p: _link_part(p, root, base, sel) for p in parts}
+
+
+def parse_pages(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", only: tuple[str, ...] = ()) -> DataFrame:
+    """(ord, url, parsed...) of raw pages; ord is the page id.  With only, some of LINK_PARTS, no other part is made."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    ddl = "ord long, url string, " + PARSED
-    schema = to_arrow_schema(StructType.fromDDL(ddl))
+    whole = StructType.fromDDL("ord long, url string, " + PARSED)
+    if unknown := set(only) - set(LINK_PARTS):
+        raise ValueError(f"not made alone: {sorted(unknown)}")
+    wanted = StructType([f for f in whole if not only or f.name in ("ord", "url", *only)])
+    schema = to_arrow_schema(wanted)
 
     def go(batches):
         for batch in batches:
             for i in range(0, len(batch), 200):
                 part = batch.slice(i, 200).to_pydict()
-                rows = [{"ord": o, "url": u} | extract(h, u) for o, u, h in zip(part["ord"], part["url"], part["html"], strict=True)]
+                rows = [{"ord": o, "url": u} | (extract_only(h, u, only) if only else extract(h, u)) for o, u, h in zip(part["ord"], part["url"], part["html"], strict=True)]
                 yield from pa.Table.from_pylist(rows, schema=schema).to_batches()
 
-    return pages.select(F.col(page_id).cast("long").alias("ord"), F.col(url).alias("url"), F.col(html).alias("html")).mapInArrow(go, ddl)
+    return pages.select(F.col(page_id).cast("long").alias("ord"), F.col(url).alias("url"), F.col(html).alias("html")).mapInArrow(go, wanted)
 
 
 def crawl_links(parsed: DataFrame, base_url: Column, sidebar_first: bool = True) -> DataFrame:

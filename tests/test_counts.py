@@ -49,3 +49,21 @@ def test_ngram_join_keeps_only_what_its_result_reads(spark, monkeypatch):
         assert left == ["counts", "edges"] and (want is None or got == want)
         want = got
     assert {r[3] for r in want} == {0, 100, 200}
+
+
+def test_link_parts_alone_equal_the_whole_parse(spark, monkeypatch):
+    from docloom.operators import htmltree
+    from docloom.plans.queries import _HTML
+
+    raw = spark.createDataFrame([(1, "https://h/users", _HTML), (2, "https://h/g", _HTML.replace("<aside>", '<aside class="rm-Sidebar">')), (3, None, None)], "page_id long, url string, html string")
+    whole = {r.ord: r for r in pages.parse_pages(raw).collect()}
+    assert whole[2].framework == "readme" and pages.framework_of("a README.io b") == "readme" and pages.framework_of("plain") == "unknown"
+    for only in (("links",), ("nav",), ("links", "sidebar_links")):
+        got = pages.parse_pages(raw, only=only)
+        assert got.columns == ["ord", "url", *only]
+        assert all([getattr(r, c) for c in only] == [getattr(whole[r.ord], c) for c in only] for r in got.collect())
+    for name in ("tables_of", "code_of", "schemas_of", "endpoint_of", "_content"):  # none of these is needed for links
+        monkeypatch.setattr(pages, name, None)
+    assert pages.extract_only(_HTML, "https://h/users", ("links",))["links"] == whole[1].links
+    root = htmltree.parse("<DIV class=a><p>x</p><a href=y>z</a></DIV>")
+    assert [n.tag for n in root.all("P, div.a, *[href]")] == ["div", "p", "a"] and root.all("div > p, a > p") == root.all("p")
