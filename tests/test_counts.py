@@ -67,3 +67,45 @@ def test_link_parts_alone_equal_the_whole_parse(spark, monkeypatch):
     assert pages.extract_only(_HTML, "https://h/users", ("links",))["links"] == whole[1].links
     root = htmltree.parse("<DIV class=a><p>x</p><a href=y>z</a></DIV>")
     assert [n.tag for n in root.all("P, div.a, *[href]")] == ["div", "p", "a"] and root.all("div > p, a > p") == root.all("p")
+
+
+def test_first_by_makes_each_key_once(spark):
+    import time
+
+    from pyspark.sql import functions as F
+
+    from docloom.functions import scalars as S
+
+    df = spark.range(1).select(F.transform(F.sequence(F.lit(0), F.lit(5999)), lambda i: F.when(i != 7, F.concat(F.lit("k"), (i % 5000).cast("string")))).alias("xs"))
+    began = time.time()
+    got = df.select(S.first_by(F.col("xs"), lambda x: S.content_hash(x)).alias("x")).first().x
+    assert got == [f"k{i}" for i in range(5000) if i != 7] + ["k7"] and time.time() - began < 15
+
+
+def test_packed_paragraphs_with_signs_that_join(spark):
+    from pyspark.sql import functions as F
+
+    import math
+    import random
+    import re
+
+    def plain(t):
+        for p, new in ((r"```[\s\S]*?```", ""), ("`[^`]+`", ""), (r"\[([^\]]+)\]\([^)]+\)", r"\1"), ("[#*_~>-]", ""), (r"\s+", " ")):
+            t = re.sub(p, new, t)
+        return t.strip()
+
+    rng, rows = random.Random(3), []
+    for i in range(30):
+        word = lambda: rng.choice(["plain", "words", "`open", "[a", "b](c)", "*x*", "code`"][: 2 if i % 2 else 7])  # noqa: B023, E731
+        rows.append((str(i), "\n\n".join(" ".join(word() for _ in range(rng.randint(1, 90))) for _ in range(40))))
+    got = spark.createDataFrame(rows, "id string, t string").select("id", chunks.packed(F.col("t"), 100, True).alias("c")).collect()
+    for (_, text), r in zip(rows, sorted(got, key=lambda r: int(r.id)), strict=True):
+        want, buffer = [], ""
+        for p in (p for x in re.split(r"\n\n+", text) if len(p := plain(x)) > 20):
+            both = f"{buffer}\n\n{p}"
+            if buffer and math.ceil(len(re.split(r"\s+", plain(both))) * 1.3) > 100:
+                want.append(buffer)
+                buffer = p
+            else:
+                buffer = both if buffer else p
+        assert r.c == want + ([buffer] if buffer else [])
